@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import WORD, stash
 
-BLOCK_TOKENS, SHARD_TOKENS, WEIGHTS, CAP, SEED = 16, 4_000_000, (1, 2, 3), 3, "mix-1"
+BLOCK_TOKENS, SHARD_TOKENS, WEIGHTS, CAP, SEED = 16, 500_000, (1, 2, 3), 3, "mix-1"
 
 
 def sainte_lague(parties: DataFrame, group: list[str], key: str) -> DataFrame:

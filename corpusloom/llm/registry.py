@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import mixing
+from corpusloom.llm import language, mixing, packing, secrets
 
 
 def queries() -> dict:
-    return {"op5_mixing": mixing.op5_mixing}
+    return {
+        "op4_secrets": secrets.op4_secrets,
+        "op5_mixing": mixing.op5_mixing,
+        "op8_packing": packing.op8_packing,
+        "op10_language": language.op10_language,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
