@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import stash, table
 
-CAPACITY, CLOSING, REST_TOKENS, SHARD_TOKENS, VOCABULARY = 4096, 2, 1024, 1 << 20, "word_bpe_49k.json"
+CAPACITY, CLOSING, REST_TOKENS, SHARD_TOKENS, VOCABULARY = 4096, 2, 512, 1 << 20, "word_bpe_49k.json"
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _ENCODERS: dict = {}
 

@@ -95,5 +95,6 @@ class WordBpe:
                 self.words.clear()
             if len(self.parts) > self.limit:
                 self.parts.clear()
-            self._learn(set(words) - self.words.keys())
+            known = self.words
+            self._learn({w for w in words if w not in known})
             return b"".join(map(self.words.__getitem__, words))
