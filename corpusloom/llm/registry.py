@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import language, mixing, packing, secrets
+from corpusloom.llm import covertree, language, mixing, packing, secrets, simhash, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_simhash": simhash.op1_simhash,
+        "op2_embeddings": covertree.op2_embeddings,
         "op4_secrets": secrets.op4_secrets,
         "op5_mixing": mixing.op5_mixing,
+        "op7_toxicity": toxicity.op7_toxicity,
         "op8_packing": packing.op8_packing,
         "op10_language": language.op10_language,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": mixing.ORACLE}
+    return {"op2_embeddings": covertree.ORACLE, "op5_mixing": mixing.ORACLE}
