@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import covertree, language, mixing, packing, secrets, simhash, toxicity
+from corpusloom.llm import covertree, htmltext, language, merkle, mixing, packing, secrets, simhash, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_simhash": simhash.op1_simhash,
         "op2_embeddings": covertree.op2_embeddings,
+        "op3_fingerprints": merkle.op3_fingerprints,
         "op4_secrets": secrets.op4_secrets,
         "op5_mixing": mixing.op5_mixing,
         "op7_toxicity": toxicity.op7_toxicity,
         "op8_packing": packing.op8_packing,
+        "op9_html": htmltext.op9_html,
         "op10_language": language.op10_language,
     }
 
