@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import covertree, htmltext, language, merkle, mixing, packing, secrets, simhash, toxicity
+from corpusloom.llm import backoff, covertree, htmltext, language, merkle, mixing, packing, secrets, simhash, toxicity
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_fingerprints": merkle.op3_fingerprints,
         "op4_secrets": secrets.op4_secrets,
         "op5_mixing": mixing.op5_mixing,
+        "op6_backoff": backoff.op6_backoff,
         "op7_toxicity": toxicity.op7_toxicity,
         "op8_packing": packing.op8_packing,
         "op9_html": htmltext.op9_html,
@@ -20,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_embeddings": covertree.ORACLE, "op5_mixing": mixing.ORACLE}
+    return {"op2_embeddings": covertree.ORACLE, "op5_mixing": mixing.ORACLE, "op6_backoff": backoff.ORACLE}
