@@ -59,32 +59,42 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, closing: int =
 
 
 def difference(sizes: list[int], windows: int) -> list[int]:
-    """Karmarkar-Karp: the window of each size. Partitions are merged by largest spread; sums fall in one and rise in the other."""
-    if windows == 1 or not sizes:
-        return [0] * len(sizes)
+    """Karmarkar-Karp: the window of each size. Partitions are merged by largest spread; sums fall in one and rise in the other.
+
+    A partition of one size has that size as its spread. While it is the largest, merging in the next sizes fills empty windows
+    and leaves the spread, so up to ``windows`` sizes in falling order make a partition in one step.
+    """
+    order = np.argsort(-np.array(sizes, np.int64), kind="stable")
+    falling = np.array(sizes, np.int64)[order]
     # A node is an item, or two nodes that share a window from then on.
     pairs: list[tuple[int, int]] = []
-    n, heap = len(sizes), []
-    for item, size in enumerate(sizes):
-        sums, nodes = np.zeros(windows, np.int64), np.full(windows, -1, np.int64)
-        sums[0], nodes[0] = size, item
-        heap.append((-size, item, sums, nodes))
-    heapq.heapify(heap)
-    serial = n
-    while len(heap) > 1:
-        _, _, a, x = heapq.heappop(heap)
-        _, _, b, y = heapq.heappop(heap)
-        sums, y = a + b[::-1], y[::-1].copy()
-        both = np.flatnonzero((x >= 0) & (y >= 0))
-        nodes = np.where(x >= 0, x, y)
-        nodes[both] = n + len(pairs) + np.arange(len(both))
-        pairs += zip(x[both].tolist(), y[both].tolist(), strict=True)
-        order = np.argsort(-sums, kind="stable")
-        sums, nodes = sums[order], nodes[order]
+    n, heap, serial, head = len(sizes), [], 0, 0
+    while head < n or len(heap) > 1:
+        spread = -heap[0][0] if heap else 0
+        if head < n and falling[head] >= spread:
+            until = head + int(np.searchsorted(-falling[head : head + windows], -spread, side="right")) if heap else min(n, head + windows)
+            sums, nodes = np.zeros(windows, np.int64), np.full(windows, -1, np.int64)
+            sums[: until - head], nodes[: until - head] = falling[head:until], order[head:until]
+            head = until
+        else:
+            _, _, a, x = heapq.heappop(heap)
+            if head < n and (not heap or falling[head] >= -heap[0][0]):
+                b, y = np.zeros(windows, np.int64), np.full(windows, -1, np.int64)
+                b[0], y[0] = falling[head], order[head]
+                head += 1
+            else:
+                _, _, b, y = heapq.heappop(heap)
+            sums, y = a + b[::-1], y[::-1]
+            both = np.flatnonzero((x >= 0) & (y >= 0))
+            nodes = np.where(x >= 0, x, y)
+            nodes[both] = n + len(pairs) + np.arange(len(both))
+            pairs += zip(x[both].tolist(), y[both].tolist(), strict=True)
+            by = np.argsort(-sums, kind="stable")
+            sums, nodes = sums[by], nodes[by]
         sums = sums - sums[-1]
         heapq.heappush(heap, (-int(sums[0]), serial, sums, nodes))
         serial += 1
-    where, stack = [0] * n, [(int(node), w) for w, node in enumerate(heap[0][3]) if node >= 0]
+    where, stack = [0] * n, [(int(node), w) for w, node in enumerate(heap[0][3]) if node >= 0] if heap else []
     while stack:
         node, w = stack.pop()
         if node < n:

@@ -38,7 +38,7 @@ def _ranks(path: str) -> dict[bytes, int]:
 class WordBpe:
     """``limit`` bounds each dictionary's entries, but for one text's words; a full one is emptied."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 700_000):
         import tiktoken
         from tokenizers import Tokenizer
 
