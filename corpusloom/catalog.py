@@ -1,6 +1,363 @@
-"""Every registered query of the engine, and its SQL where SQL can express it."""
+"""Every registered query of the engine, and its SQL where SQL can express it. All run over their whole tables."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from corpusloom.functions import text as X
+from corpusloom.models import HashEmbedder, ScriptedClient, embed
+from corpusloom.operators import edit, filters, generate, retry
+from corpusloom.operators import similarity as S
+from corpusloom.operators import tasks as T
+from corpusloom.sources import corpus, fixtures, store
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+CFG = T.CorpusConfig(min_chars=800, max_chars=3000, summaries=True)
+STYLES = ("easy", "medium", "hard")
+JOBS = [S.Job("above", threshold=0.2), S.Job("range", least=-0.05, most=0.15, min_words=2), S.Job("below", threshold=0.25)]
+CLIENT = ScriptedClient((
+    ("Avalie a conversa", "Fidelidade: 5\nCorreção: 4,5\nClareza: 4\nCoerência: 5\nDiversidade: 4\nCompletude: 4 {key}"),
+    ("Devolva somente a próxima pergunta", "Como se explica {key} diante do que foi dito antes?"),
+    ("Você responde com base", "A explicação completa está em {key}, segundo o documento indicado."),
+    ("Escreva somente o pedido", "Resuma {key}"),
+    ("Atenda ao pedido", "Resumo {key}"),
+    ("Escreva uma pergunta que o documento", "Pergunta:  quando vale {key}?"),
+    ("Reescreva o documento como resposta", "Resposta: vale em {key}."),
+))
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- SQL shared by several oracles -----------------------------------------------------------------------------------------
+
+_CHUNKS = """
+chunks as (select doc_id::varchar as hf_row_id, source as document_id, source as document_name, row_number() over (partition by source order by doc_id) - 1 as chunk_index, text, doc_id as seq from documents),
+flat as (select *, trim(regexp_replace(text, '\\s+', ' ', 'g')) as t from chunks),
+cut as (select *, left(t, 3000) as h, length(left(t, 3000)) - instr(reverse(left(t, 3000)), '.') as dot from flat),
+valid as (select *, case when length(t) <= 3000 then t when instr(h, '.') > 0 and dot >= 800 then left(h, dot + 1) else h end as prompt_text from cut),
+kept as (select * from valid where chunk_index <> 0 and length(prompt_text) >= 800)"""
+_CONV = """
+conv as (select conv_id as id, list({'role': role, 'content': text} order by turn) as messages from conversations group by conv_id)"""
+_QA = """
+turns as (select *, lead(role) over w as next_role, lead(text) over w as answer from conversations window w as (partition by conv_id order by turn)),
+qa as (select conv_id * 1000 + turn as id, (conv_id % 10)::varchar as g, text as question, answer, turn::varchar as question_style from turns where role = 'user' and next_role = 'assistant')"""
+#: DuckDB's edit distance counts bytes: letters beyond ASCII become control characters, one each, which keeps distances by letter.
+_BEYOND = "áàâäãéèêëíìîïóòôöõúùûüçñßœæÁÉ"
+_ONE = lambda c: f"translate({c}, '{_BEYOND}', {' || '.join(f'chr({i})' for i in [*range(1, 9), 11, 12, *range(14, 32), 127][: len(_BEYOND)])})"
+
+
+# --- Scans, chunks and tasks -----------------------------------------------------------------------------------------------
+
+
+@query(f"with {_CHUNKS} select hf_row_id, document_id, chunk_index::integer as chunk_index, length(prompt_text)::integer as n_chars, md5(prompt_text) as digest from kept")
+def valid_chunks(spark, sf_dir):
+    rows = T.valid_chunks(fixtures.chunks(spark, sf_dir), CFG)
+    return rows.select("hf_row_id", "document_id", "chunk_index", F.length("prompt_text").alias("n_chars"), F.md5("prompt_text").alias("digest"))
+
+
+@query(f"with {_CHUNKS} select document_id, length(trim(text))::integer as n_chars from chunks where chunk_index = 0 and trim(text) <> ''")
+def doc_summaries(spark, sf_dir):
+    return T.doc_summaries(fixtures.chunks(spark, sf_dir), CFG).select("document_id", F.length("summary").alias("n_chars"))
+
+
+@query(f"""with {_CHUNKS}, s as (select document_id, text as summary from chunks where chunk_index = 0)
+select hf_row_id, style_index - 1 as style_index, question_style, length(prompt_text)::integer as n_chars, md5('Sumário do documento:' || chr(10) || trim(summary) || chr(10) || chr(10)) as summary_digest
+from kept join s using (document_id), (select unnest(['easy', 'medium', 'hard']) as question_style, generate_subscripts(['easy', 'medium', 'hard'], 1)::integer as style_index)""")
+def chunk_style_tasks(spark, sf_dir):
+    rows = T.style_tasks(fixtures.chunks(spark, sf_dir), list(STYLES), CFG)
+    return rows.select("hf_row_id", "style_index", "question_style", F.length("prompt_text").alias("n_chars"), F.md5("doc_summary").alias("summary_digest"))
+
+
+@query(f"""with {_CHUNKS} select hf_row_id, md5('<documento nome="' || document_name || '">' || chr(10) || prompt_text || chr(10) || '</documento>') as digest from kept""")
+def prompt_documents(spark, sf_dir):
+    rows = T.valid_chunks(fixtures.chunks(spark, sf_dir), CFG).withColumn("sample_text", T.sample_text())
+    return rows.select("hf_row_id", F.md5(X.render_documents("sample_text")).alias("digest"))
+
+
+@query(f"with {_CHUNKS} select hf_row_id from kept where seq % 3 <> 0")
+def resume_pending(spark, sf_dir):
+    chunks = fixtures.chunks(spark, sf_dir)
+    done = chunks.where("seq % 3 = 0").select(F.array("hf_row_id").alias("sample_id"))
+    return T.pending(T.valid_chunks(chunks, CFG), done).select("hf_row_id")
+
+
+@query(f"with {_CHUNKS} select hf_row_id, s as question_style from kept, (select unnest(['easy', 'medium', 'hard']) as s) where (seq % 2 = 0 and s = 'easy') or (seq % 5 = 0 and s = 'hard')")
+def retry_tasks(spark, sf_dir):
+    chunks = fixtures.chunks(spark, sf_dir)
+    again = chunks.where("seq % 2 = 0").select("hf_row_id", F.lit("easy").alias("question_style")).union(chunks.where("seq % 5 = 0").select("hf_row_id", F.lit("hard")))
+    return T.style_tasks(chunks, list(STYLES), CFG, retry=again.withColumnRenamed("hf_row_id", "group_key")).select("hf_row_id", "question_style")
+
+
+@query(f"with {_CHUNKS} select (select count(*) from kept) * 3 as estimate")
+def estimate_rows(spark, sf_dir):
+    return generate.estimate(T.style_tasks(fixtures.chunks(spark, sf_dir), list(STYLES), CFG))
+
+
+@query(f"with {_CHUNKS} select document_id, array_to_string(list(chunk_index order by chunk_index), ',') as chunk_indexes from chunks group by document_id")
+def doc_chunk_map(spark, sf_dir):
+    rows = store.doc_chunk_map(fixtures.chunks(spark, sf_dir))
+    return rows.select("document_id", F.array_join(F.transform("chunk_indexes", lambda i: i.cast("string")), ",").alias("chunk_indexes"))
+
+
+@query(f"with {_CHUNKS} select hf_row_id, chunk_index::integer as chunk_index from chunks where document_id = 'src3' and chunk_index between 4 and 8")
+def doc_window(spark, sf_dir):
+    return store.local_window(fixtures.chunks(spark, sf_dir), "src3", 4, 5).select("hf_row_id", "chunk_index")
+
+
+@query(f"""with {_CHUNKS}, w as (select document_id, row_number() over v - 1 as start, list(hf_row_id) over (partition by document_id order by chunk_index rows between current row and 2 following) as ids from chunks window v as (partition by document_id order by chunk_index))
+select document_id, start::integer as start, array_to_string(ids, ',') as ids, array_to_string(list_sort(ids), '|') as group_key from w where len(ids) = 3 and start % 2 = 0""")
+def local_windows(spark, sf_dir):
+    return T.local_windows(fixtures.chunks(spark, sf_dir), 3, 2).select("document_id", "start", F.array_join("sample_id", ",").alias("ids"), "group_key")
+
+
+@query(f"with {_CHUNKS}, w as (select hf_row_id, document_id, chunk_index, list_distinct(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '')) as words from chunks) select a.hf_row_id, len(list_intersect(a.words, b.words))::integer as shared from w a join w b on a.document_id = b.document_id and b.chunk_index = a.chunk_index + 1")
+def neighbour_word_overlap(spark, sf_dir):
+    chunks = fixtures.chunks(spark, sf_dir)
+    after = F.lead("text").over(Window.partitionBy("document_id").orderBy("chunk_index"))
+    return chunks.withColumn("after", after).where("after is not null").select("hf_row_id", X.word_overlap("text", "after").alias("shared"))
+
+
+# --- Conversations ---------------------------------------------------------------------------------------------------------
+
+
+@query(f"with {_CONV} select count(*) as conversations, count_if(len(list_filter(messages, lambda m: m.role = 'user')) <= 1)::bigint as single from conv")
+def single_turn_stats(spark, sf_dir):
+    return fixtures.conversations(spark, sf_dir).agg(F.count(F.lit(1)).alias("conversations"), F.count_if(X.is_single_turn("messages")).alias("single"))
+
+
+@query(f"""with {_CONV} select id, md5(array_to_string(list_transform(messages, lambda m: case when m.role = 'user' then 'Usuário' else 'Assistente' end || ': ' || m.content), chr(10))) as full_digest,
+md5(coalesce(array_to_string(list_transform(list_filter(messages, lambda m: m.role = 'user'), lambda m: '- ' || m.content), chr(10)), '')) as user_digest, md5(array_to_string(list_transform(messages, lambda m: m.role || ': ' || m.content), chr(10))) as text_digest from conv""")
+def conversation_histories(spark, sf_dir):
+    return fixtures.conversations(spark, sf_dir).select("id", F.md5(X.history("messages")).alias("full_digest"), F.md5(X.user_history("messages")).alias("user_digest"), F.md5(X.conversation_text("messages")).alias("text_digest"))
+
+
+@query(f"""with {_CONV}, r as (select id, list_transform(messages, lambda m, i: {{'role': m.role, 'content': case when m.role = 'assistant' and (id + i) % 5 = 0 then '  NÃO tenho contexto para responder ISSO.. ' else m.content end}}) as messages from conv),
+p as (select id, messages, list_position(list_transform(messages, lambda m: m.role = 'assistant' and trim(regexp_replace(lower(trim(m.content)), '\\.+$', '')) = 'não tenho contexto para responder isso'), true) as cut_ from r)
+select id, (case when coalesce(cut_, 0) = 0 then len(messages) else greatest(cut_ - 2, 0) end)::integer as n from p""")
+def refusal_truncate(spark, sf_dir):
+    rows = fixtures.conversations(spark, sf_dir)
+    refuses = F.transform("messages", lambda m, i: F.struct(m["role"].alias("role"), F.when((m["role"] == "assistant") & ((F.col("id") + i + 1) % 5 == 0), "  NÃO tenho contexto para responder ISSO.. ").otherwise(m["content"]).alias("content")))
+    return rows.select("id", F.size(filters.truncate_at_refusal(refuses)).alias("n"))
+
+
+@query(f"""with {_CONV}, x as (select id, messages, list_transform(messages, lambda m: {_ONE("m.content")}) as c, list_transform(list_filter(messages, lambda m: m.role = 'user'), lambda m: {_ONE("m.content")}) as u from conv)
+select id, len(messages)::integer as n_messages from x where len(messages) >= case when len(u) <= 1 then 2 else 4 end
+and len(list_filter(messages, lambda m: m.role = 'assistant' and length(trim(m.content)) < 10)) = 0
+and len(list_filter(generate_series(1, len(u)), lambda i: len(list_filter(generate_series(1, i - 1), lambda j: levenshtein(u[i], u[j]) <= 60)) > 0)) = 0
+and len(list_filter(generate_series(1, len(c) - 1), lambda i: levenshtein(c[i], c[i + 1]) <= 60)) = 0""")
+def conv_filter(spark, sf_dir):
+    """With distances of 60, as the synthetic turns are farther apart than the defaults' 20."""
+    return filters.conv_filter(fixtures.conversations(spark, sf_dir), user_distance=60, next_distance=60).select("id", F.size("messages").alias("n_messages"))
+
+
+# --- Question-answer rows --------------------------------------------------------------------------------------------------
+
+
+def _responses(spark, sf_dir):
+    """Model output made of the conversations' pairs, in the grammar that models are asked for."""
+    qa = fixtures.qa_rows(spark, sf_dir).withColumn("conv", F.floor(F.col("id") / 1000))
+    line = F.concat(F.lit("Pergunta: "), "question", F.lit("\nResposta: "), "answer")
+    return qa.groupBy("conv").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", line.alias("l")))), lambda x: x["l"]), "\n").alias("response"))
+
+
+@query(f"""with {_QA}, r as (select id // 1000 as conv, string_agg('Pergunta: ' || question || chr(10) || 'Resposta: ' || answer, chr(10) order by id) as response from qa group by all),
+p as (select conv, unnest(string_split(response, chr(10) || 'Pergunta:')) as part, generate_subscripts(string_split(response, chr(10) || 'Pergunta:'), 1) as n from r),
+s as (select conv, n, regexp_replace(part, '^Pergunta:', '') as part from p)
+select conv, (n - 1)::integer as pair, trim(string_split(part, chr(10) || 'Resposta:')[1]) as question, md5(trim(string_split(part, chr(10) || 'Resposta:')[2])) as answer_digest from s""")
+def qa_parse(spark, sf_dir):
+    return _responses(spark, sf_dir).select("conv", F.posexplode(X.parse_pairs("response")).alias("pair", "qa")).select("conv", "pair", "qa.question", F.md5("qa.answer").alias("answer_digest"))
+
+
+_SCORE_TEXT = "'Fidelidade: ' || (1 + {0} % 5) || chr(10) || 'CORREÇÃO : ' || (1 + {0} // 5 % 5) || ',5' || chr(10) || 'Clareza: 4.5' || chr(10) || case when {0} % 7 = 0 then '' else 'coerencia: 5' || chr(10) end || 'Diversidade: 4'"
+
+
+@query(f"""with {_CONV}, r as (select id, messages, {_SCORE_TEXT.format("id")} as response from conv),
+s as (select id, list_transform(regexp_extract_all(response, '(?i)(?:fidelidade|correção|corre[cç][aã]o|clareza|coer[eê]ncia|diversidade|completude)\\s*:\\s*(\\d(?:[.,]\\d)?)', 1), lambda x: replace(x, ',', '.')::double) as scores from r)
+select id, round((scores[1] + scores[2] + scores[3] + scores[4] + scores[5]) / 5, 2) as avg_score from s where len(scores) >= 5 and (scores[1] + scores[2] + scores[3] + scores[4] + scores[5]) / 5 > 4.0""")
+def judge_scores(spark, sf_dir):
+    i = F.col("id")
+    response = F.concat(F.lit("Fidelidade: "), 1 + i % 5, F.lit("\nCORREÇÃO : "), 1 + F.floor(i / 5) % 5, F.lit(",5\nClareza: 4.5\n"), F.when(i % 7 == 0, "").otherwise("coerencia: 5\n"), F.lit("Diversidade: 4"))
+    return filters.judged(fixtures.conversations(spark, sf_dir).withColumn("response", response)).select("id", "avg_score")
+
+
+@query(f"""with {_QA}, f as (select g, list({{'id': id, 'q': {_ONE("question")}}} order by id) as rows from qa where length(trim(answer)) >= 10 group by g),
+k as (select unnest(list_reduce(list_transform(rows, lambda x: [x]), lambda acc, x: case when len(list_filter(acc, lambda y: levenshtein(y.q, x[1].q) <= 110)) > 0 then acc else acc || x end)) as r from f) select r.id as id from k""")
+def qa_filter(spark, sf_dir):
+    """With a distance of 110, as the synthetic questions are farther apart than the default's 20."""
+    return filters.qa_filter(fixtures.qa_rows(spark, sf_dir), distance=110).select("id")
+
+
+@query(f"with {_QA} select id, len(coalesce(list(question) over w, []))::integer as n, md5(coalesce(array_to_string(list(question) over w, chr(10)), '')) as digest from qa window w as (partition by g order by id rows between unbounded preceding and 1 preceding)")
+def previous_questions(spark, sf_dir):
+    rows = T.previous_questions(fixtures.qa_rows(spark, sf_dir))
+    return rows.select("id", F.size("previous_questions").alias("n"), F.md5(F.array_join("previous_questions", "\n")).alias("digest"))
+
+
+@query(f"with {_QA}, c as (select id, question_style, coalesce(list_position(['2', '4', '1', '3'], question_style), 0) as seed_ from qa) select id, array_to_string(list_transform([0, 1, 2, 3, 4], lambda i: ['2', '4', '1', '3'][(seed_ + i) % 4 + 1]), ',') as styles from c")
+def style_cycle(spark, sf_dir):
+    return fixtures.qa_rows(spark, sf_dir).select("id", F.array_join(X.style_cycle("question_style", ["2", "4", "1", "3"], 5), ",").alias("styles"))
+
+
+@query(f"with {_QA} select row_number() over (order by g, id) - 1 as id, id as input_id from qa where length(answer) >= 10")
+def renumber(spark, sf_dir):
+    rows = fixtures.qa_rows(spark, sf_dir).where(F.length("answer") >= 10).withColumn("g", X.group_key("sample_id"))
+    return corpus.renumbered(rows, ["g", "id"]).select("id", "input_id")
+
+
+@query(f"with {_QA}, r as (select 0 as run, * from qa where g = '1' union all select 1, * from qa where g = '2' union all select 2, * from qa) select row_number() over (order by run, id) - 1 as id, question from r")
+def merge_runs(spark, sf_dir):
+    rows = fixtures.qa_rows(spark, sf_dir).withColumn("g", X.group_key("sample_id"))
+    return corpus.merge_runs([rows.where("g = '1'"), rows.where("g = '2'").drop("answer"), rows]).select("id", "question")
+
+
+# --- Resume and retry ------------------------------------------------------------------------------------------------------
+
+
+def _outputs(spark, sf_dir):
+    rows = fixtures.qa_rows(spark, sf_dir).withColumn("status", F.when(F.col("id") % 11 == 0, "failed"))
+    return rows, rows.where("id % 3 = 0")
+
+
+_OUTPUT = f"{_QA}, output as (select *, case when id % 11 = 0 then 'failed' end as status from qa), final as (select * from output where id % 3 = 0)"
+
+
+@query(f"with {_OUTPUT} select g as group_key, question_style, array_to_string(list(id order by id), ',') as ids, max(id) as latest from output where status is distinct from 'failed' group by all")
+def generated_pairs(spark, sf_dir):
+    rows = retry.generated_pairs(_outputs(spark, sf_dir)[0])
+    return rows.select("group_key", "question_style", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"), "latest")
+
+
+@query(f"with {_OUTPUT} select g as group_key, question_style from output where status is distinct from 'failed' except select g, question_style from final")
+def failed_pairs(spark, sf_dir):
+    return retry.failed_pairs(*_outputs(spark, sf_dir)).select("group_key", "question_style")
+
+
+@query(f"""with {_OUTPUT}, pairs as (select g, question_style, max(id) as id from output where status is distinct from 'failed' group by all),
+m as (select p.id, exists (select 1 from final f where f.g = p.g and f.question_style = p.question_style) as ok from pairs p)
+select o.id, case when ok then 'passed' when not ok then 'failed' else status end as status from output o left join m using (id)""")
+def stamp_statuses(spark, sf_dir):
+    return retry.stamp_latest(*_outputs(spark, sf_dir)).select("id", "status")
+
+
+@query(f"with {_OUTPUT} select distinct g as sample_id from output where status is distinct from 'failed'")
+def processed_ids(spark, sf_dir):
+    return retry.processed_ids(_outputs(spark, sf_dir)[0], "failed")
+
+
+@query(f"with {_QA} select coalesce(max(id), -1) as high_water from qa")
+def high_water(spark, sf_dir):
+    return corpus.high_water(fixtures.qa_rows(spark, sf_dir))
+
+
+@query(f"""with {_CHUNKS}, w as (select row_number() over v - 1 as start, list(hf_row_id) over (partition by document_id order by chunk_index rows between current row and 2 following) as ids from chunks window v as (partition by document_id order by chunk_index)),
+e as (select ids, unnest(ids) as x, generate_subscripts(ids, 1) as i from w where len(ids) = 3 and start % 2 = 0)
+select distinct least(a.x, b.x) as a, greatest(a.x, b.x) as b from e a join e b on a.ids = b.ids and a.i < b.i""")
+def used_pairs(spark, sf_dir):
+    return S.used_pairs(T.local_windows(fixtures.chunks(spark, sf_dir), 3, 2))
+
+
+# --- Vectors ---------------------------------------------------------------------------------------------------------------
+
+_UNIT = "unit as (select vec_id, label, list_transform(embedding, lambda x: x::double) as v from embeddings)"
+
+
+@query(f"""with {_UNIT}, s as (select a.vec_id as seed, b.vec_id as cand, round(list_cosine_similarity(a.v, b.v), 12) as s from unit a cross join unit b),
+r as (select *, row_number() over (partition by seed order by s desc, cand) as rank from s) select seed, cand, round(s, 6) as similarity, rank::integer as rank from r where rank <= 6""")
+def similar_topk(spark, sf_dir):
+    return S.top_similar(fixtures.vectors(spark, sf_dir), 6).select("seed", "cand", F.round("similarity", 6).alias("similarity"), "rank")
+
+
+@query(f"""with {_UNIT}, f as (select label, list({{'id': vec_id, 'v': v}} order by vec_id) as rows from unit group by label),
+k as (select unnest(list_reduce(list_transform(rows, lambda x: [x]), lambda acc, x: case when len(list_filter(acc, lambda y: list_cosine_similarity(y.v, x[1].v) > 0.25)) > 0 then acc else acc || x end)) as r from f) select r.id as id from k""")
+def embed_dedup(spark, sf_dir):
+    """With a threshold of 0.25, as the synthetic vectors are farther apart than the default's 0.95."""
+    rows = fixtures.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", F.array(F.col("label").cast("string")).alias("sample_id"))
+    return filters.embed_filter(rows, 0.25).select("id")
+
+
+@query(f"""with {_UNIT} select vec_id, round(sqrt(list_sum(list_transform(v, lambda x: x * x))), 6) as size, round(list_cosine_similarity(v, lead(v) over (order by vec_id)), 6) as next_cosine from unit qualify next_cosine is not null""")
+def vector_math(spark, sf_dir):
+    rows = fixtures.table(spark, sf_dir, "embeddings")
+    ranked = corpus.with_position(rows, ["vec_id"])
+    after = ranked.select((F.col("position") - 1).alias("position"), F.col("embedding").alias("after"))
+    return ranked.join(after, "position").select("vec_id", F.round(X.norm("embedding"), 6).alias("size"), F.round(X.cosine("embedding", "after"), 6).alias("next_cosine"))
+
+
+@query()
+def similarity_groups(spark, sf_dir):
+    rows = S.similarity_groups(fixtures.vectors(spark, sf_dir), JOBS, constraint="different", min_docs=2)
+    return rows.select("seed", "job_index", F.array_join("sample_id", ",").alias("ids"), "chunk_group_similarity", "group_key")
+
+
+@query()
+def retry_embed_filter(spark, sf_dir):
+    rows = fixtures.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", F.array(F.col("label").cast("string")).alias("sample_id"))
+    old = filters.embed_filter(rows.where("id % 2 = 0"), 0.25)
+    return filters.embed_filter_against(rows.where("id % 2 = 1"), old, 0.25).select("id")
+
+
+@query()
+def chunk_store(spark, sf_dir):
+    rows = store.prepare(fixtures.chunks(spark, sf_dir), id_field="hf_row_id", order="seq").withColumn("embedding", embed(HashEmbedder(64), F.col("text")))
+    return rows.select("hf_row_id", "document_id", "chunk_index", F.size("embedding").alias("dims"))
+
+
+# --- Model phases, with a scripted model -----------------------------------------------------------------------------------
+
+
+@query()
+def gen_pairs(spark, sf_dir):
+    return generate.qa_pairs(fixtures.chunks(spark, sf_dir), CLIENT, CFG).select("id", "sample_id", "question", "answer", "question_style")
+
+
+@query()
+def gen_styled(spark, sf_dir):
+    return generate.qa_styled(fixtures.chunks(spark, sf_dir), CLIENT, STYLES, CFG).select("id", "sample_id", "question", "answer", "question_style", "document_id")
+
+
+@query()
+def gen_local(spark, sf_dir):
+    return generate.qa_local(fixtures.chunks(spark, sf_dir), CLIENT, STYLES, n=3, stride=3).select("id", "sample_id", "question", "question_style", "num_chunks")
+
+
+@query()
+def gen_similar(spark, sf_dir):
+    return generate.qa_similar(fixtures.vectors(spark, sf_dir).where("text is not null"), CLIENT, JOBS, STYLES, constraint="different", min_docs=2).select("id", "sample_id", "question", "similarity_mode", "chunk_group_similarity")
+
+
+@query()
+def gen_rewrites(spark, sf_dir):
+    return generate.rewrites(fixtures.chunks(spark, sf_dir), CLIENT, cfg=CFG).select("id", "sample_id", "question_style", "messages")
+
+
+@query()
+def gen_personas(spark, sf_dir):
+    return generate.personas(fixtures.chunks(spark, sf_dir), CLIENT, ("urgente", "informal"), CFG).select("id", "sample_id", "question_style", "messages")
+
+
+@query()
+def edit_answers(spark, sf_dir):
+    rows = generate.qa_styled(fixtures.chunks(spark, sf_dir), CLIENT, ("easy",), CFG)
+    return edit.rewrite_answers(rows, CLIENT, number=True).select("id", "input_id", "question", "answer")
+
+
+@query()
+def pipeline_end_to_end(spark, sf_dir):
+    """Generator, filter, expansion, filter, judge and dedup in one lazy chain."""
+    rows = generate.qa_styled(fixtures.chunks(spark, sf_dir), CLIENT, STYLES, CFG)
+    talks = filters.conv_filter(edit.expand(filters.qa_filter(rows, number=True), CLIENT, STYLES, naive=False, number=True), number=True)
+    scored = edit.judge(talks, CLIENT, number=True).withColumn("_v", embed(HashEmbedder(64), X.conversation_text("messages")))
+    return filters.embed_filter(scored, 0.95, "_v", number=True).select("id", "origin_id", "sample_id", "question_style", "avg_score", F.size("messages").alias("n_messages"))
