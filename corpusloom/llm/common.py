@@ -39,8 +39,14 @@ def crc_mod(doc_id: str, mod: int) -> Column:
 
 
 def bounded_sample(df: DataFrame, by: list[str], per_group: int, order: str, columns: list[str]) -> DataFrame:
-    """The ``per_group`` rows of lowest seeded hash of ``order`` in each group: a bounded sample that doesn't depend on partitions."""
+    """The ``per_group`` rows of lowest seeded hash of ``order`` in each group: a bounded sample that doesn't depend on partitions.
+
+    Groups are counted first, and only rows whose hash lies in the lowest part, wide enough for three times the sample, are ranked.
+    """
     from pyspark.sql import Window
 
+    hashed = df.withColumn("_h", F.xxhash64(F.col(order), F.lit(11)))
+    sizes = df.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(F.count(F.lit(1)).alias("_size"))
+    low = hashed.join(sizes, [F.col(c) == F.col(f"_{c}") for c in by]).where(F.col("_h") / 2.0**64 + 0.5 <= 3.0 * per_group / F.col("_size"))
     w = Window.partitionBy(*by).orderBy("_h", order)
-    return df.withColumn("_h", F.xxhash64(F.col(order), F.lit(11))).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= per_group).select(*columns)
+    return low.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= per_group).select(*columns)
