@@ -29,9 +29,10 @@ LOT = 2_000_000
 
 
 def automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """The suffix automaton as a flat table: at ``state * alphabet + symbol``, twice the next state, plus 1 where a phrase ends before the symbol.
+    """The suffix automaton as a flat table: at ``state * alphabet + symbol``, twice the next state, plus 1 where a phrase begins with the symbol.
 
-    The alphabet's last symbol is padding and stays where it is.
+    The last state stands before a text and after a symbol that the sample lacks: from it every symbol begins a phrase. The alphabet's
+    last symbol is padding and stays where it is.
     """
     nexts, links, lengths, last = [{}], [-1], [0], 0
     for c in symbols:
@@ -57,11 +58,11 @@ def automaton(symbols: list[int], alphabet: int) -> np.ndarray:
                     p = links[p]
                 links[q] = links[cur] = copy
         last = cur
-    root = np.array([nexts[0].get(c, 0) for c in range(alphabet)], np.int32)
-    out = np.tile(root * 2 + 1, (len(nexts), 1)).astype(np.int32)
+    root = np.array([nexts[0].get(c, len(nexts)) for c in range(alphabet)], np.int32)
+    out = np.tile(root * 2 + 1, (len(nexts) + 1, 1)).astype(np.int32)
     for state, to in enumerate(nexts):
         out[state, list(to)] = [2 * t for t in to.values()]
-    out[:, alphabet - 1] = 2 * np.arange(len(nexts))
+    out[:, alphabet - 1] = 2 * np.arange(len(nexts) + 1)
     return out.ravel()
 
 
@@ -85,7 +86,7 @@ class Model:
         grid = np.where(at < ends[owner][:, None], symbols[np.minimum(at, len(symbols) - 1)], self.alphabet - 1).astype(np.int32).T.copy() if len(owner) else np.zeros((0, 0), np.int32)
         found = np.zeros((len(texts), len(self.languages)))
         for k, tab in enumerate(self.tables):
-            state, broken = np.zeros(len(owner), np.int32), np.ones(len(owner), np.int64)
+            state, broken = np.full(len(owner), len(tab) // self.alphabet - 1, np.int32), np.zeros(len(owner), np.int64)
             for row in grid:
                 to = tab[state * self.alphabet + row]
                 broken += to & 1

@@ -55,8 +55,10 @@ class WordBpe:
         if _PRINTABLE.fullmatch(word):
             return None if _ADDED.search(word) else _ASCII.findall(word.lower())
         letters = word.rstrip(_PUNCTUATION)
-        if letters.isalpha() and "Σ" not in letters and unicodedata.is_normalized("NFC", letters):
-            return [letters.lower(), word[len(letters) :]] if len(letters) < len(word) else [letters.lower()]
+        low = letters.lower()
+        # A letter whose lower case has a mark would be cut there; a sigma's depends on its place.
+        if letters.isalpha() and low.isalpha() and "Σ" not in letters and unicodedata.is_normalized("NFC", letters):
+            return [low, word[len(letters) :]] if len(letters) < len(word) else [low]
         return None
 
     def _learn(self, new: set[bytes]) -> None:
