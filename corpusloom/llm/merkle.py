@@ -48,7 +48,8 @@ def fingerprint(built: Column) -> Column:
 
 
 def leaves(built: Column) -> Column:
-    return F.array_distinct(F.flatten(F.flatten(built)))
+    """The distinct leaves by the 32 bits of their digests that the fingerprint shows."""
+    return F.array_distinct(F.transform(F.flatten(F.flatten(built)), lambda x: F.shiftright(F.shiftleft(x, 32), 32).cast("int")))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -90,12 +91,20 @@ def successors(docs: DataFrame) -> DataFrame:
 
 
 def with_next(docs: DataFrame, leaf_words: int = LEAF_WORDS) -> DataFrame:
-    """(doc_id, text, start, next_leaves): each document with the first quarter of its own length of the next text, and that text's leaves."""
-    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    given = own.join(successors(docs), (F.col("doc_id") == F.col("donor")) & (F.xxhash64("text") == F.col("donor_hash")))
-    given = given.select(F.col("recipient").alias("doc_id"), F.expr("left(text, cast(need as int))").alias("start"), leaves(tree(F.col("text"), leaf_words)).alias("next_leaves"))
-    given = given.groupBy("doc_id").agg(F.first("start").alias("start"), F.first("next_leaves").alias("next_leaves"))
-    return own.join(given, "doc_id", "left").withColumn("start", F.coalesce("start", F.lit(""))).withColumn("next_leaves", F.coalesce("next_leaves", F.array().cast("array<bigint>")))
+    """(doc_id, text, start, next_leaves): each document with the first quarter of its own length of the next text, and that text's leaves.
+
+    Both joins are by doc_id over the same repartitioned texts, so these are shuffled once and reused.
+    """
+    all_texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    own = all_texts.where("doc_id is not null").repartition("doc_id")
+    # Written so that the hash is no second join key, by which the texts would have to be dealt anew.
+    same_text = F.xxhash64("text").bitwiseXOR(F.col("donor_hash")) == 0
+    given = own.join(successors(docs).hint("merge"), (F.col("doc_id") == F.col("donor")) & same_text)
+    given = given.select(F.col("recipient").alias("to"), F.expr("left(text, cast(need as int))").alias("start"), leaves(tree(F.col("text"), leaf_words)).alias("next_leaves"))
+    given = given.groupBy("to").agg(F.first("start").alias("start"), F.first("next_leaves").alias("next_leaves"))
+    nothing = F.array().cast("array<int>")
+    placed = own.join(given.hint("merge"), F.col("doc_id") == F.col("to"), "left").select("doc_id", "text", F.coalesce("start", F.lit("")).alias("start"), F.coalesce("next_leaves", nothing).alias("next_leaves"))
+    return placed.union(all_texts.where("doc_id is null").select("doc_id", "text", F.lit(""), nothing))
 
 
 def op3_fingerprints(spark, sf_dir: str) -> DataFrame:
