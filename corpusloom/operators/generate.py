@@ -10,7 +10,6 @@ from corpusloom.functions import text as X
 from corpusloom.models import Client, Sampling, respond
 from corpusloom.operators import similarity as S
 from corpusloom.operators import tasks as T
-from corpusloom.sources.corpus import renumbered
 
 
 def fill(template: str, **values: Column) -> Column:
@@ -72,12 +71,17 @@ def qa_local(store_rows: DataFrame, client: Client, styles=("general", "specific
     return _finish(found, "qa_local_multihop", ["document_id", "start", "style_index"], num_rows).drop("start", "style_index")
 
 
+def similar_tasks(store_rows: DataFrame, jobs: list[S.Job], styles=("general", "specific", "compositional", "comparative"), *, constraint: str | None = None, min_docs: int = 1, num_chunks: int = 3, max_candidates: int = 200, used=None) -> DataFrame:
+    """Similarity groups once a style of their job."""
+    groups = S.similarity_groups(store_rows, jobs, used=used, num_chunks=num_chunks, constraint=constraint, min_docs=min_docs, max_candidates=max_candidates)
+    named = F.element_at(F.array(*[F.array(*[F.lit(s) for s in (j.styles or styles)]) for j in jobs]), F.col("job_index") + 1)
+    return groups.select("*", F.posexplode(named).alias("style_index", "question_style")).withColumn("document_id", F.element_at("document_ids", 1))
+
+
 def qa_similar(store_rows: DataFrame, client: Client, jobs: list[S.Job], styles=("general", "specific", "compositional", "comparative"), *, constraint: str | None = None, min_docs: int = 1, num_chunks: int = 3, max_candidates: int = 200, summaries: DataFrame | None = None, used=None, retry=None, sampling=Sampling(max_tokens=512), store=None, num_rows: int = -1) -> DataFrame:
     """One pair a similarity group and style of its job, with the job's criteria."""
-    groups = S.similarity_groups(store_rows, jobs, used=used, num_chunks=num_chunks, constraint=constraint, min_docs=min_docs, max_candidates=max_candidates)
     of = lambda get, kind: F.element_at(F.array(*[F.lit(get(j)).cast(kind) for j in jobs]), F.col("job_index") + 1)
-    named = F.element_at(F.array(*[F.array(*[F.lit(s) for s in (j.styles or styles)]) for j in jobs]), F.col("job_index") + 1)
-    rows = groups.select("*", F.posexplode(named).alias("style_index", "question_style")).withColumn("document_id", F.element_at("document_ids", 1))
+    rows = similar_tasks(store_rows, jobs, styles, constraint=constraint, min_docs=min_docs, num_chunks=num_chunks, max_candidates=max_candidates, used=used)
     if summaries is not None:
         blocks = rows.select("seed", "job_index", "style_index", F.posexplode(F.array_distinct("document_ids")).alias("pos", "document_id"))
         blocks = T.with_summary(blocks, summaries).groupBy("seed", "job_index", "style_index").agg(F.array_sort(F.collect_list(F.struct("pos", "doc_summary"))).alias("b"))
@@ -130,4 +134,4 @@ def estimate(tasks: DataFrame, per_task: int = 1, num_rows: int = -1) -> DataFra
     return tasks.agg((n if num_rows < 0 else F.least(n, F.lit(num_rows))).cast("long").alias("estimate"))
 
 
-__all__ = ["estimate", "fill", "personas", "qa_local", "qa_pairs", "qa_similar", "qa_styled", "renumbered", "rewrites"]
+__all__ = ["estimate", "fill", "personas", "qa_local", "qa_pairs", "qa_similar", "qa_styled", "rewrites", "similar_tasks"]

@@ -20,6 +20,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--output")
     p.add_argument("--num-rows", type=int, default=-1)
     p.add_argument("--batch-size", type=int, help="rows of an Arrow batch, within which model calls run at the same time")
+    p.add_argument("--resume", action="store_true", help="add to outputs that are there already")
     p.add_argument("--list-phases", action="store_true")
     p.add_argument("--dump-prompts")
     p.add_argument("--dry-run", action="store_true")
@@ -49,7 +50,8 @@ def main(argv: list[str] | None = None) -> int:
         for name, n in pipeline.dry_run(plan, ctx).items():
             print(f"{name}: {'unknown' if n is None else n}")
         return 0
-    options = {} if plan.runs else {"start_from": args.start_from, "only": args.only, "output": args.output, "source": spark.read.parquet(args.input) if args.input else None}
+    options = {"resume": args.resume}
+    options |= {} if plan.runs else {"start_from": args.start_from, "only": args.only, "output": args.output, "source": spark.read.parquet(args.input) if args.input else None}
     results = pipeline.run(plan, ctx, args.folder, **options)
     if said := pipeline.empty_summary(results):
         print(said)

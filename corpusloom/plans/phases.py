@@ -14,9 +14,11 @@ from corpusloom.functions import text as X
 from corpusloom.models import Client, HashEmbedder, Sampling, ScriptedClient, embed
 from corpusloom.operators import edit, filters, generate
 from corpusloom.operators import tasks as T
-from corpusloom.operators.similarity import Job
+from corpusloom.operators.retry import keyed
+from corpusloom.operators.similarity import Job, used_pairs
 from corpusloom.schemas import REQUIRED, missing
 from corpusloom.sources import store as vectors
+from corpusloom.sources.corpus import renumbered
 
 
 class Role(Enum):
@@ -49,6 +51,9 @@ class Context:
     config: dict[str, Any] = field(default_factory=dict)
     num_rows: int = -1
     retry: DataFrame | None = None
+    #: Of an earlier run of the phase: a generator's rows, and what a greedy filter kept.
+    done: DataFrame | None = None
+    survivors: DataFrame | None = None
 
     def get(self, key: str, default):
         """A setting as the default's type; lists come from text split at commas."""
@@ -148,29 +153,67 @@ def jobs_of(config: dict) -> list[Job]:
     return [Job(j.get(f"{key}MODE", "above"), number(j.get(f"{key}THRESHOLD")), number(j.get(f"{key}MIN")), number(j.get(f"{key}MAX")), j.get(f"{key}MIN_MATCHING_WORDS"), split(j.get("QA_GEN_VAR_QUESTION_STYLES"))) for j in raw]
 
 
-def _similar(_, ctx: Context) -> DataFrame:
+def _summaries(ctx: Context) -> DataFrame | None:
+    cfg = ctx.corpus_config()
+    return T.doc_summaries(ctx.corpus, cfg) if cfg.summaries and ctx.corpus is not None else None
+
+
+def _groups(ctx: Context) -> dict[str, Any]:
     key = "QA_SIMILARITY_MULTIHOP_"
-    return generate.qa_similar(
-        _store(ctx), ctx.client, jobs_of(ctx.config), _styles(ctx), constraint=ctx.config.get(f"{key}DOC_CONSTRAINT"), min_docs=ctx.get(f"{key}MIN_DOCS", 1), num_chunks=ctx.get(f"{key}NUM_CHUNKS", 3),
-        max_candidates=ctx.get(f"{key}MAX_CANDIDATES", 200), retry=ctx.retry, num_rows=ctx.num_rows, sampling=ctx.sampling("QA_SIMILARITY_MULTIHOP", Sampling(max_tokens=512)),
-    )
+    return {
+        "constraint": ctx.config.get(f"{key}DOC_CONSTRAINT"), "min_docs": ctx.get(f"{key}MIN_DOCS", 1), "num_chunks": ctx.get(f"{key}NUM_CHUNKS", 3), "max_candidates": ctx.get(f"{key}MAX_CANDIDATES", 200),
+        "used": None if ctx.done is None else used_pairs(ctx.done, "failed"),
+    }
+
+
+def _similar(_, ctx: Context) -> DataFrame:
+    return generate.qa_similar(_store(ctx), ctx.client, jobs_of(ctx.config), _styles(ctx), summaries=_summaries(ctx), retry=ctx.retry, num_rows=ctx.num_rows, sampling=ctx.sampling("QA_SIMILARITY_MULTIHOP", Sampling(max_tokens=512)), **_groups(ctx))
 
 
 def _local(_, ctx: Context) -> DataFrame:
-    return generate.qa_local(_store(ctx), ctx.client, _styles(ctx), n=ctx.get("QA_LOCAL_MULTIHOP_NUM_CHUNKS", 3), stride=ctx.get("QA_LOCAL_MULTIHOP_WINDOW_STRIDE", 1), retry=ctx.retry, num_rows=ctx.num_rows, sampling=ctx.sampling("QA_LOCAL_MULTIHOP", Sampling(max_tokens=512)))
+    done = None if ctx.done is None else keyed(open_again(ctx.done))
+    return generate.qa_local(_store(ctx), ctx.client, _styles(ctx), n=ctx.get("QA_LOCAL_MULTIHOP_NUM_CHUNKS", 3), stride=ctx.get("QA_LOCAL_MULTIHOP_WINDOW_STRIDE", 1), summaries=_summaries(ctx), done=done, retry=ctx.retry, num_rows=ctx.num_rows, sampling=ctx.sampling("QA_LOCAL_MULTIHOP", Sampling(max_tokens=512)))
+
+
+def open_again(output: DataFrame) -> DataFrame:
+    """Finished rows: those marked failed may be generated again."""
+    return output.where("status is null or status <> 'failed'") if "status" in output.columns else output
+
+
+def _by_chunk(generator, *names: tuple[str, tuple], sampling: tuple[str, Sampling] | None = None):
+    """A generator over the corpus, with what its settings name."""
+
+    def run(_, ctx: Context) -> DataFrame:
+        more = {"sampling": ctx.sampling(*sampling)} if sampling else {}
+        done = None if ctx.done is None else open_again(ctx.done)
+        return generator(ctx.corpus, ctx.client, *[ctx.get(key, default) for key, default in names], cfg=ctx.corpus_config(), done=done, retry=ctx.retry, num_rows=ctx.num_rows, **more)
+
+    return run
+
+
+def _qa_filter(rows: DataFrame, ctx: Context) -> DataFrame:
+    limits = (ctx.get("QA_FILTER_MIN_ANSWER_LEN", 10), ctx.get("QA_FILTER_LEVENSHTEIN_THRESHOLD", 20))
+    if ctx.survivors is None:
+        return filters.qa_filter(rows, *limits, number=True)
+    kept = filters.qa_filter_against(rows, ctx.survivors, *limits)
+    return renumbered(kept.withColumn("_key", X.group_key("sample_id")), ["_key", "id"]).drop("_key")
 
 
 def _expand(prefix: str, styled: bool):
     def run(rows: DataFrame, ctx: Context) -> DataFrame:
         turns = (ctx.get(f"{prefix}_N_USER_TURNS_MIN", 3), ctx.get(f"{prefix}_N_USER_TURNS_MAX", 3))
-        return edit.expand(rows, ctx.client, ctx.get(f"{prefix}_QUESTION_STYLES", _STYLES), naive=ctx.get(f"{prefix}_NAIVE_GEN", True), turns=turns, full_history=ctx.get(f"{prefix}_FULL_HISTORY_FOR_USER_TURN", False), styled=styled, number=True)
+        return edit.expand(rows, ctx.client, ctx.get(f"{prefix}_QUESTION_STYLES", _STYLES), naive=ctx.get(f"{prefix}_NAIVE_GEN", True), turns=turns, full_history=ctx.get(f"{prefix}_FULL_HISTORY_FOR_USER_TURN", False), styled=styled, summaries=_summaries(ctx), number=True)
 
     return run
 
 
 def _embed_filter(rows: DataFrame, ctx: Context) -> DataFrame:
-    marked = rows.withColumn("_v", embed(ctx.embedder, X.conversation_text("messages")))
-    return filters.embed_filter(marked, ctx.get("EMBED_FILTER_SIMILARITY_THRESHOLD", 0.95), "_v", number=True).drop("_v")
+    mark = lambda df: df.withColumn("_v", embed(ctx.embedder, X.conversation_text("messages")))
+    least = ctx.get("EMBED_FILTER_SIMILARITY_THRESHOLD", 0.95)
+    if ctx.survivors is None:
+        return filters.embed_filter(mark(rows), least, "_v", number=True).drop("_v")
+    kept = filters.embed_filter_against(mark(rows), mark(ctx.survivors), least, "_v").drop("_v")
+    return renumbered(kept.withColumn("_key", X.group_key("sample_id")), ["_key", "id"]).drop("_key")
 
 
 _styled_tasks = lambda ctx: T.style_tasks(ctx.corpus, list(_styles(ctx)), ctx.corpus_config())
@@ -178,16 +221,16 @@ _ALL_PERSONAS = tuple(P.PERSONAS)
 
 for _phase in (
     Phase("chroma_preprocess", Role.PREPROCESS, (), (), _preprocess),
-    Phase("qa_gen", Role.GENERATOR, (), _QA, lambda _, c: generate.qa_pairs(c.corpus, c.client, c.corpus_config(), retry=c.retry, num_rows=c.num_rows, sampling=c.sampling("QA_GEN", Sampling())), (("pairs", P.PAIRS),), 3, lambda c: T.valid_chunks(c.corpus, c.corpus_config(), "pairs")),
-    Phase("qa_gen_var", Role.GENERATOR, (), _QA, lambda _, c: generate.qa_styled(c.corpus, c.client, _styles(c), c.corpus_config(), retry=c.retry, num_rows=c.num_rows, sampling=c.sampling("QA_GEN_VAR", Sampling(max_tokens=512))), (("styled", P.STYLED),), 1, _styled_tasks),
+    Phase("qa_gen", Role.GENERATOR, (), _QA, _by_chunk(generate.qa_pairs, sampling=("QA_GEN", Sampling())), (("pairs", P.PAIRS),), 3, lambda c: T.valid_chunks(c.corpus, c.corpus_config(), "pairs")),
+    Phase("qa_gen_var", Role.GENERATOR, (), _QA, _by_chunk(generate.qa_styled, ("QA_GEN_VAR_QUESTION_STYLES", _STYLES), sampling=("QA_GEN_VAR", Sampling(max_tokens=512))), (("styled", P.STYLED),), 1, _styled_tasks),
     Phase("qa_local_multihop", Role.GENERATOR, (), _QA, _local, (("local", P.LOCAL),), 1, lambda c: T.with_styles(T.local_windows(_store(c), c.get("QA_LOCAL_MULTIHOP_NUM_CHUNKS", 3), c.get("QA_LOCAL_MULTIHOP_WINDOW_STRIDE", 1)), list(_styles(c)))),
-    Phase("qa_similarity_multihop", Role.GENERATOR, (), _QA, _similar, (("near", P.NEAR), ("far", P.FAR))),
-    Phase("rewrite_gen", Role.GENERATOR, (), _TALK, lambda _, c: generate.rewrites(c.corpus, c.client, c.get("REWRITE_GEN_STYLES", tuple(P.REWRITES)), c.corpus_config(), retry=c.retry, num_rows=c.num_rows), (("ask", P.REWRITE_ASK), ("do", P.REWRITE_DO)), 1, lambda c: T.style_tasks(c.corpus, list(c.get("REWRITE_GEN_STYLES", tuple(P.REWRITES))), c.corpus_config(), kind="rewrite")),
-    Phase("dog_instruct", Role.GENERATOR, (), _TALK, lambda _, c: generate.personas(c.corpus, c.client, c.get("DOG_INSTRUCT_PERSONAS", _ALL_PERSONAS), c.corpus_config(), retry=c.retry, num_rows=c.num_rows), (("ask", P.PERSONA_ASK), ("do", P.PERSONA_DO)), 1, lambda c: T.style_tasks(c.corpus, list(c.get("DOG_INSTRUCT_PERSONAS", _ALL_PERSONAS)), c.corpus_config())),
+    Phase("qa_similarity_multihop", Role.GENERATOR, (), _QA, _similar, (("near", P.NEAR), ("far", P.FAR)), 1, lambda c: generate.similar_tasks(_store(c), jobs_of(c.config), _styles(c), **_groups(c))),
+    Phase("rewrite_gen", Role.GENERATOR, (), _TALK, _by_chunk(generate.rewrites, ("REWRITE_GEN_STYLES", tuple(P.REWRITES))), (("ask", P.REWRITE_ASK), ("do", P.REWRITE_DO)), 1, lambda c: T.style_tasks(c.corpus, list(c.get("REWRITE_GEN_STYLES", tuple(P.REWRITES))), c.corpus_config(), kind="rewrite")),
+    Phase("dog_instruct", Role.GENERATOR, (), _TALK, _by_chunk(generate.personas, ("DOG_INSTRUCT_PERSONAS", _ALL_PERSONAS)), (("ask", P.PERSONA_ASK), ("do", P.PERSONA_DO)), 1, lambda c: T.style_tasks(c.corpus, list(c.get("DOG_INSTRUCT_PERSONAS", _ALL_PERSONAS)), c.corpus_config())),
     Phase("answer_rewrite", Role.EDITOR, REQUIRED["qa"], _QA, lambda r, c: edit.rewrite_answers(r, c.client, number=True), (("answer", P.ANSWER),)),
     Phase("conv_expand", Role.EDITOR, REQUIRED["qa"], _TALK, _expand("CONV_EXPAND", False), (("user", P.USER_TURN), ("assistant", P.ASSISTANT_TURN))),
     Phase("conv_expand_var", Role.EDITOR, REQUIRED["styled_qa"], _TALK, _expand("CONV_EXPAND_VAR", True), (("user", P.USER_TURN), ("across", P.USER_TURN_ACROSS), ("assistant", P.ASSISTANT_TURN))),
-    Phase("qa_filter", Role.FILTER, REQUIRED["qa"], _QA, lambda r, c: filters.qa_filter(r, c.get("QA_FILTER_MIN_ANSWER_LEN", 10), c.get("QA_FILTER_LEVENSHTEIN_THRESHOLD", 20), number=True)),
+    Phase("qa_filter", Role.FILTER, REQUIRED["qa"], _QA, _qa_filter),
     Phase("conv_filter", Role.FILTER, REQUIRED["conversation"], _TALK, lambda r, c: filters.conv_filter(r, c.get("CONV_FILTER_MIN_MESSAGES", 4), c.get("CONV_FILTER_MIN_ASSISTANT_LEN", 10), c.get("CONV_FILTER_LEVENSHTEIN_USER", 20), c.get("CONV_FILTER_LEVENSHTEIN_ADJACENT", 20), number=True)),
     Phase("judge", Role.JUDGE, REQUIRED["conversation"], (*_TALK, "scores", "avg_score"), lambda r, c: edit.judge(r, c.client, sampling=c.sampling("JUDGE", Sampling(0.0, 0.9, 2048)), least=c.get("JUDGE_MIN_AVG_SCORE", 4.0), number=True), (("judge", P.JUDGE),)),
     Phase("embed_filter", Role.DEDUP, REQUIRED["conversation"], _TALK, _embed_filter),

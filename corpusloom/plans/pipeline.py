@@ -10,10 +10,12 @@ from dataclasses import dataclass, field, replace
 from pathlib import Path
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from corpusloom.operators import filters, retry
 from corpusloom.plans.phases import Context, Phase, Role, get_phase
-from corpusloom.sources.corpus import merge_runs
+from corpusloom.sources.corpus import has_path, merge_runs
+from corpusloom.sources.tables import persisted
 
 #: Settings that a run must have.
 REQUIRED_SETTINGS = ("DATASET_DOC_NAME_FIELD",)
@@ -83,10 +85,12 @@ def validate(steps: tuple[Step, ...]) -> tuple[list[Phase], list[str]]:
     return phases, warnings
 
 
-def run_steps(steps: tuple[Step, ...], ctx: Context, folder: str = "", *, start_from: str | None = None, only: str | None = None, source: DataFrame | None = None, output: str | None = None, env: dict | None = None) -> tuple[DataFrame, list[str]]:
+def run_steps(steps: tuple[Step, ...], ctx: Context, folder: str = "", *, start_from: str | None = None, only: str | None = None, source: DataFrame | None = None, output: str | None = None, env: dict | None = None, resume: bool = False) -> tuple[DataFrame, list[str]]:
     """Runs the chain, each step's rows written as Parquet under its output; returns the last rows and the names of steps that gave none.
 
-    ``start_from`` and ``only`` name a step; it reads ``source``, or what the step before wrote.
+    ``start_from`` and ``only`` name a step; it reads ``source``, or what the step before wrote. With ``resume``, a step whose output is
+    there already adds to it what is new: a generator skips finished chunks, windows and pairs, and others the rows that they have seen, which
+    are kept beside the output; greedy filters compare new rows with what they kept before.
     """
     phases, _ = validate(steps)
     names = [s.phase for s in steps]
@@ -101,13 +105,34 @@ def run_steps(steps: tuple[Step, ...], ctx: Context, folder: str = "", *, start_
     for k in range(first, last + 1):
         own = replace(ctx, config={**(env or {}), **ctx.config, **steps[k].config})
         path = output if output and k == last else at(k)
-        phases[k].run(rows, own).write.mode("overwrite").parquet(path)
+        if resume:
+            _add(phases[k], rows, own, path)
+        else:
+            phases[k].run(rows, own).write.mode("overwrite").parquet(path)
         rows = ctx.spark.read.parquet(path)
         if phases[k].role is not Role.PREPROCESS and rows.isEmpty():
             empty.append(steps[k].phase)
     return rows, empty
 
 
+def _add(phase: Phase, rows: DataFrame | None, ctx: Context, path: str) -> None:
+    """One step of a resumed run. Seen rows are written last, so a step that broke off does its rows again."""
+    spark, seen = ctx.spark, f"{path}.seen"
+    old = spark.read.parquet(path) if has_path(spark, path) else None
+    if rows is not None and has_path(spark, seen):
+        rows = rows.join(spark.read.parquet(seen), "id", "left_anti")
+    rows = persisted(rows) if rows is not None else None
+    new = phase.run(rows, replace(ctx, done=old, survivors=old))
+    if old is not None:
+        last = old.agg(F.coalesce(F.max("id"), F.lit(-1)).alias("m")).first()["m"]
+        new = new.withColumn("id", F.col("id") + last + 1)
+        if phase.role is Role.GENERATOR:
+            new = new.withColumn("origin_id", F.col("id"))
+    persisted(new).write.mode("append").parquet(path)
+    if rows is not None:
+        rows.select("id").write.mode("append").parquet(seen)
+
+
 def run_retries(steps: tuple[Step, ...], ctx: Context, folder: str, attempts: int, env: dict | None = None) -> tuple[DataFrame, int]:
     """Tries again what the chain lost; its last step must deduplicate. The results go beside the first ones."""
     phases, _ = validate(steps)
@@ -154,7 +179,7 @@ def run(plan: Plan, ctx: Context, folder: str = "", **options) -> dict[str, tupl
         path = f"{folder.rstrip('/')}/{where}" if folder else where
         own = replace(ctx, num_rows=int(step.config.get("NUM_ROWS", ctx.num_rows)))
         env = {**plan.env, **(plan.preprocess.config if plan.preprocess else {})}
-        out[where] = run_steps(steps, own, path, env=env)
+        out[where] = run_steps(steps, own, path, env=env, **options)
         if plan.retries:
             out[where] = (run_retries(steps, own, path, plan.retries, env)[0], out[where][1])
     return out

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from corpusloom.functions import text as X
 from corpusloom.operators import filters
+from corpusloom.sources.corpus import has_path
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "json", files: int = 100) -> DataFrame:
@@ -23,19 +24,12 @@ def run_stateless(source: DataFrame, transform: Callable[[DataFrame], DataFrame]
 
 def run_qa_filter(source: DataFrame, output: str, checkpoint: str, min_answer: int = 10, distance: int = 20) -> None:
     """New rows are compared with those kept before in their sample, which come first. A batch writes its own folder, so a batch that is run again replaces what it wrote."""
-    from corpusloom.sources.corpus import has_path
-
     def batch(rows: DataFrame, number: int) -> None:
-        from pyspark.sql import functions as F
-
         spark = rows.sparkSession
-        new = rows.withColumn("_order", F.struct(F.lit(1).alias("new"), "id"))
         if has_path(spark, output):
-            old = spark.read.parquet(output).where(F.col("batch") < number).drop("batch")
-            keys = new.select(X.group_key("sample_id").alias("_k")).distinct()
-            old = old.withColumn("_k", X.group_key("sample_id")).join(keys, "_k", "left_semi").drop("_k")
-            new = old.withColumn("_order", F.struct(F.lit(0).alias("new"), "id")).unionByName(new)
-        kept = filters.keep_first(new, X.group_key("sample_id"), lambda y, x: F.levenshtein(x["question"], y["question"], distance) >= 0, F.length(X.strip("answer")) >= min_answer, "_order")
-        kept.where("_order.new = 1").drop("_order").write.mode("overwrite").parquet(f"{output}/batch={number}")
+            kept = filters.qa_filter_against(rows, spark.read.parquet(output).where(F.col("batch") < number).drop("batch"), min_answer, distance)
+        else:
+            kept = filters.qa_filter(rows, min_answer, distance)
+        kept.write.mode("overwrite").parquet(f"{output}/batch={number}")
 
     source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -89,6 +89,20 @@ def test_single_pipeline(ctx, tmp_path):
     assert rounds == 0 and final.count() == 10
 
 
+def test_resume_adds_only_what_is_new(ctx, rows, tmp_path):
+    from dataclasses import replace
+
+    plan, all_chunks = pipeline.parse(SINGLE), ctx.corpus
+    part = replace(ctx, corpus=all_chunks.where("seq < 3"))
+    first = {tuple(r["sample_id"]): r["id"] for r in pipeline.run(plan, part, str(tmp_path), resume=True)[""][0].where("question_style = 'easy'").collect()}
+    assert len(first) == 3
+    again = pipeline.run(plan, part, str(tmp_path), resume=True)[""][0]
+    assert again.count() == 6
+    more = pipeline.run(plan, ctx, str(tmp_path), resume=True)[""][0].collect()
+    assert len(more) == 10 and len({r["id"] for r in more}) == 10
+    assert {k: v for k, v in ((tuple(r["sample_id"]), r["id"]) for r in more if r["question_style"] == "easy") if k in first} == first
+
+
 def test_empty_output_is_reported(ctx, tmp_path):
     plan = pipeline.parse(SINGLE.replace("DATASET_MIN_CHARS: 5", "DATASET_MIN_CHARS: 500"))
     results = pipeline.run(plan, ctx, str(tmp_path))
@@ -101,7 +115,7 @@ def test_runs(ctx, tmp_path):
     assert results["local"][0].count() == 2 and results["similar"][0].count() > 0
     merged = pipeline.merged(results)
     assert sorted(r["id"] for r in merged.collect()) == list(range(merged.count()))
-    assert pipeline.dry_run(plan, ctx) == {"qa_local_multihop": 2, "qa_similarity_multihop": None}
+    assert pipeline.dry_run(plan, ctx) == {"qa_local_multihop": 2, "qa_similarity_multihop": results["similar"][0].count()}
 
 
 def test_expansion(rows):
