@@ -29,6 +29,15 @@ def stash(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stash_by(df: DataFrame, column: str) -> DataFrame:
+    """As ``stash``, but dealt by the column into as many buckets as there are shuffle partitions, so that a join on it needn't shuffle this side again."""
+    spark = df.sparkSession
+    name = f"corpusloom_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, column).option("path", f"{shared_dir(spark).rstrip('/')}/{name}").saveAsTable(name)
+    return spark.table(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -41,12 +50,13 @@ def crc_mod(doc_id: str, mod: int) -> Column:
 def bounded_sample(df: DataFrame, by: list[str], per_group: int, order: str, columns: list[str]) -> DataFrame:
     """The ``per_group`` rows of lowest seeded hash of ``order`` in each group: a bounded sample that doesn't depend on partitions.
 
-    Groups are counted first, and only rows whose hash lies in the lowest part, wide enough for three times the sample, are ranked.
+    Groups are counted first, and only rows whose hash lies in the lowest part, wide enough for three times the sample, are shuffled and
+    ranked. The counts are broadcast: groups are the classes of a model, which holds a lexicon or an automaton for each.
     """
     from pyspark.sql import Window
 
     hashed = df.withColumn("_h", F.xxhash64(F.col(order), F.lit(11)))
     sizes = df.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(F.count(F.lit(1)).alias("_size"))
-    low = hashed.join(sizes, [F.col(c) == F.col(f"_{c}") for c in by]).where(F.col("_h") / 2.0**64 + 0.5 <= 3.0 * per_group / F.col("_size"))
+    low = hashed.join(F.broadcast(sizes), [F.col(c) == F.col(f"_{c}") for c in by]).where(F.col("_h") / 2.0**64 + 0.5 <= 3.0 * per_group / F.col("_size"))
     w = Window.partitionBy(*by).orderBy("_h", order)
     return low.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= per_group).select(*columns)
