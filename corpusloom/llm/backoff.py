@@ -4,10 +4,11 @@ A word's score after two others is count(trigram) / count(bigram) if the trigram
 that of the bigram, else of the unigram, whose count is over all words. A document's score is the sum of the logarithms.
 
 Counts cover every document. The documents are cut into blocks of about ``block_tokens`` words, stored once with words as numbers.
-From each block, the distinct n-grams (64-bit hashes, sorted) go to the count table's partitions by hash range, one compact row
+From each block, the distinct n-grams (hashes, sorted) go to the count table's partitions by hash range, one compact row
 a block and partition; a partition holds about ``partition_ngrams`` of them, adds their counts up and joins them back to the blocks that asked.
-So the exploded n-grams are shuffled once, at about six bytes each, and a frequent n-gram is one entry a block wherever
-it stands. Sums are taken per document where the block's words are.
+So the exploded n-grams are shuffled once, at about five bytes each, and a frequent n-gram is one entry a block wherever
+it stands. Sums are taken per document where the block's words are. A hash has ``SPARE_BITS`` more bits than it takes to number the
+corpus's n-grams, so that at any size about one n-gram in a million shares its count with another.
 
 Nulls: a null or empty text has no words, score 0 and a null mean; repeated rows are scored one by one and count as often; an
 empty table gives an empty result; extra columns are not read. A very long document is a block of its own.
@@ -15,6 +16,7 @@ empty table gives an empty result; extra columns are not read. A very long docum
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import WORD, stash, table
+from corpusloom.llm.common import WORD, stash_by, table
 
-ALPHA, MIN_COUNT, BLOCK_TOKENS, PARTITION_NGRAMS = 0.4, 2, 2_000_000, 1_500_000
+ALPHA, MIN_COUNT, BLOCK_TOKENS, PARTITION_NGRAMS, SPARE_BITS = 0.4, 2, 1_000_000, 1_500_000, 20
 _BLOCK = "block long, docs array<long>, ends array<long>, low binary, high binary, vocab binary"
+_PLANES = ((0, "<u4"), (32, "u1"), (40, "u1"), (48, "<u2"))
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -44,29 +47,32 @@ def _blocks(block_tokens: int):
         serial = TaskContext.get().partitionId() << 32
         docs: list = []
         ends: list[int] = []
-        numbers: list[int] = []
+        numbers: list[np.ndarray] = []
+        size = 0
         vocab: dict[bytes, int] = {}
 
         def flush() -> pa.RecordBatch:
-            nonlocal serial, docs, ends, numbers, vocab
-            ids = np.array(numbers, np.uint32)
+            nonlocal serial, docs, ends, numbers, vocab, size
+            ids = np.concatenate(numbers)
             hashes = np.array([xxhash.xxh64_intdigest(w) for w in vocab], np.uint64)
-            row = [[serial], [docs], [ends], [(ids & 0xFFFF).astype("<u2").tobytes()], [(ids >> 16).astype("<u2").tobytes()], [hashes.tobytes()]]
+            planes = [zlib.compress(p.astype(kind).tobytes(), 1) for p, kind in ((ids & 0xFFFF, "<u2"), (ids >> 16, "<u2"))]
+            row = [[serial], [docs], [ends], [planes[0]], [planes[1]], [hashes.tobytes()]]
             kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
             out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds, strict=True)], ["block", "docs", "ends", "low", "high", "vocab"])
             serial += 1
-            docs, ends, numbers, vocab = [], [], [], {}
+            docs, ends, numbers, vocab, size = [], [], [], {}, 0
             return out
 
         for batch in batches:
             texts = batch.column(1)
             for i, doc in enumerate(batch.column(0).to_pylist()):
                 words = (texts[i].as_py() or "").encode("utf-8", "replace").split()
-                if numbers and len(numbers) + len(words) > block_tokens:
+                if size and size + len(words) > block_tokens:
                     yield flush()
-                numbers += [vocab.setdefault(w, len(vocab)) for w in words]
+                numbers.append(np.array([vocab.setdefault(w, len(vocab)) for w in words], np.uint32))
+                size += len(words)
                 docs.append(doc)
-                ends.append(len(numbers))
+                ends.append(size)
         if docs:
             yield flush()
 
@@ -75,7 +81,8 @@ def _blocks(block_tokens: int):
 
 def _hashes(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A block's n-gram hashes by position (orders 1 to 3), and each word's place in its document."""
-    ids = np.frombuffer(row["low"], "<u2").astype(np.uint32) | np.frombuffer(row["high"], "<u2").astype(np.uint32) << np.uint32(16)
+    low, high = (np.frombuffer(zlib.decompress(row[n]), "<u2").astype(np.uint32) for n in ("low", "high"))
+    ids = low | high << np.uint32(16)
     word = _mix(np.frombuffer(row["vocab"], np.uint64))[ids]
     ends = np.array(row["ends"], np.int64)
     starts = np.concatenate(([0], ends[:-1]))
@@ -86,38 +93,40 @@ def _hashes(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return word, two, three, place
 
 
-def _distinct(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    """All orders' distinct hashes, sorted, and their counts."""
+def _sorted(row: dict, bits: int, places: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """All orders' hashes, cut to ``bits`` and sorted; their places before sorting (order by order), if asked for; where each distinct one begins."""
     word, two, three, place = _hashes(row)
-    every = np.sort(np.concatenate((word, two[place >= 1], three[place >= 2])))
+    every = np.concatenate((word, two[place >= 1], three[place >= 2])) >> np.uint64(64 - bits)
+    order = np.argsort(every) if places else None
+    every = every[order] if places else np.sort(every)
     first = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1]))) if len(every) else np.zeros(0, np.int64)
-    return every[first], np.diff(np.append(first, len(every)))
+    return every, order, first
 
 
-def _bounds(partitions: int) -> np.ndarray:
+def _bounds(partitions: int, bits: int) -> np.ndarray:
     """The first hash of each partition but the first."""
-    return np.array([(k << 64) // partitions for k in range(1, partitions)], np.uint64)
+    return np.array([(k << bits) // partitions for k in range(1, partitions)], np.uint64)
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Sorted values by difference, as planes of 4, 2 and 2 bytes, each left out at the end if it is zero."""
+    """Sorted values by difference, as planes of 4, 1, 1 and 2 bytes, each left out at the end if it is zero."""
     if not len(values):
         return b""
     gaps = np.diff(values)
-    head = values[:1].astype("<u8").tobytes()
-    low, mid, top = (gaps & np.uint64(0xFFFFFFFF)).astype("<u4"), (gaps >> np.uint64(32) & np.uint64(0xFFFF)).astype("<u2"), (gaps >> np.uint64(48)).astype("<u2")
-    return head + low.tobytes() + (mid.tobytes() if mid.any() or top.any() else b"") + (top.tobytes() if top.any() else b"")
+    planes = [(gaps >> np.uint64(shift)).astype(kind) for shift, kind in _PLANES]
+    while len(planes) > 1 and not planes[-1].any():
+        planes.pop()
+    return values[:1].astype("<u8").tobytes() + b"".join(p.tobytes() for p in planes)
 
 
 def _unpacked(raw: bytes, n: int) -> np.ndarray:
     if not n:
         return np.zeros(0, np.uint64)
-    m, at = n - 1, 8
-    gaps = np.frombuffer(raw, "<u4", m, at).astype(np.uint64)
-    for shift in (32, 48):
-        at += m * (4 if shift == 32 else 2)
+    gaps, at = np.zeros(n - 1, np.uint64), 8
+    for shift, kind in _PLANES:
         if at < len(raw):
-            gaps |= np.frombuffer(raw, "<u2", m, at).astype(np.uint64) << np.uint64(shift)
+            gaps |= np.frombuffer(raw, kind, n - 1, at).astype(np.uint64) << np.uint64(shift)
+            at += (n - 1) * np.dtype(kind).itemsize
     return np.cumsum(np.concatenate((np.frombuffer(raw, "<u8", 1), gaps)), dtype=np.uint64)
 
 
@@ -134,13 +143,14 @@ def _counts(raw: bytes, n: int) -> np.ndarray:
     return counts
 
 
-def _ask(partitions: int):
+def _ask(partitions: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: batch.column(k)[i].as_py() for k, n in enumerate(batch.schema.names)}
-                values, counts = _distinct(row)
-                cuts = [0, *np.searchsorted(values, _bounds(partitions)).tolist(), len(values)]
+                every, _, first = _sorted(row, bits, False)
+                values, counts = every[first], np.diff(np.append(first, len(every)))
+                cuts = [0, *np.searchsorted(values, _bounds(partitions, bits)).tolist(), len(values)]
                 some = [(p, s, e) for p, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False)) if e > s]
                 cols = [[p for p, _, _ in some], [row["block"]] * len(some), [e - s for _, s, e in some], [_packed(values[s:e]) for _, s, e in some], [_bytes(counts[s:e]) for _, s, e in some]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()], strict=True)], ["part", "block", "n", "ngrams", "counts"])
@@ -169,33 +179,35 @@ def _answer(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.table({"block": rows["block"], "part": rows["part"], "n": rows["n"], "mask": pa.array(masks, pa.binary()), "counts": pa.array(counts, pa.binary())})
 
 
-def _score(total: int, min_count: int, alpha: float):
+def _score(total: int, min_count: int, alpha: float, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: batch.column(k)[i].as_py() for k, n in enumerate(batch.schema.names)}
-                values, _ = _distinct(row)
-                counts, at = np.ones(len(values), np.int64), 0
+                every, order, first = _sorted(row, bits, True)
+                counts, at = np.ones(len(first), np.int64), 0
                 for a in sorted(row["answers"] or [], key=lambda a: a["part"]):
                     mask = np.unpackbits(np.frombuffer(a["mask"], np.uint8), count=a["n"]).astype(bool)
                     counts[at : at + a["n"]][mask] = _counts(a["counts"], int(mask.sum()))
                     at += a["n"]
-                word, two, three, place = _hashes(row)
-                of = lambda h: counts[np.minimum(np.searchsorted(values, h), max(0, len(values) - 1))] if len(values) else np.zeros(0)  # noqa: B023, E731
-                c1 = of(word).astype(float)
-                c2 = np.where(place >= 1, of(two), 0).astype(float)
-                c3 = np.where(place >= 2, of(three), 0).astype(float)
+                back = np.empty(len(every))
+                back[order] = np.repeat(counts, np.diff(np.append(first, len(every))))
+                ends = np.array(row["ends"], np.int64)
+                starts = np.concatenate(([0], ends[:-1]))
+                n = int(ends[-1])
+                place = np.arange(n) - np.repeat(starts, ends - starts)
+                c1, c2, c3 = back[:n], np.zeros(n), np.zeros(n)
+                has2, has3 = place >= 1, place >= 2
+                k = n + int(has2.sum())
+                c2[has2], c3[has3] = back[n:k], back[k:]
                 before1, before2 = np.concatenate(([1.0], c1[:-1])), np.concatenate(([1.0], c2[:-1]))
                 logs = np.where(place >= 2, 2.0, place) * np.log(alpha) + np.log(c1 / total)
                 by2 = c2 >= min_count
                 logs = np.where(by2, np.where(place >= 2, 1.0, 0.0) * np.log(alpha) + np.log(np.maximum(c2, 1) / before1), logs)
                 by3 = c3 >= min_count
                 logs = np.where(by3, np.log(np.maximum(c3, 1) / np.maximum(before2, 1)), logs)
-                ends = np.array(row["ends"], np.int64)
-                sums = np.concatenate(([0.0], np.cumsum(logs)))
-                starts = np.concatenate(([0], ends[:-1]))
                 owner = np.repeat(np.arange(len(ends)), ends - starts)
-                score = np.bincount(owner, weights=logs, minlength=len(ends)) if len(sums) > 1 else np.zeros(len(ends))
+                score = np.bincount(owner, weights=logs, minlength=len(ends)).astype(float)
                 yield pa.RecordBatch.from_arrays([pa.array(row["docs"], pa.int64()), pa.array(ends - starts, pa.int64()), pa.array(score, pa.float64())], ["doc_id", "n_tokens", "score"])
 
     return run
@@ -205,14 +217,15 @@ def score(docs: DataFrame, *, alpha: float = ALPHA, min_count: int = MIN_COUNT,
     """doc_id, n_tokens and score (the sum of the words' log scores)."""
     if min_count < 2:
         raise ValueError("counts of 1 are not told apart from absence")
-    blocks = stash(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_blocks(block_tokens), _BLOCK))
+    blocks = stash_by(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_blocks(block_tokens), _BLOCK), "block")
     total = blocks.agg(F.coalesce(F.sum(F.element_at("ends", -1)), F.lit(0))).first()[0]
     partitions = max(8, -(-2 * total // partition_ngrams))
-    asked = blocks.mapInArrow(_ask(partitions), "part long, block long, n long, ngrams binary, counts binary")
+    bits = min(64, (2 * total + 1).bit_length() + SPARE_BITS)
+    asked = blocks.mapInArrow(_ask(partitions, bits), "part long, block long, n long, ngrams binary, counts binary")
     answers = asked.groupBy("part").applyInArrow(_answer, "block long, part long, n long, mask binary, counts binary")
     # A block's answers are as large as the block: a bounded row.
     replies = answers.groupBy("block").agg(F.collect_list(F.struct("part", "n", "mask", "counts")).alias("answers"))
-    return blocks.join(replies, "block", "left").mapInArrow(_score(max(1, total), min_count, alpha), "doc_id long, n_tokens long, score double")
+    return blocks.join(replies, "block", "left").mapInArrow(_score(max(1, total), min_count, alpha, bits), "doc_id long, n_tokens long, score double")
 
 
 def op6_backoff(spark, sf_dir: str) -> DataFrame:
