@@ -19,6 +19,8 @@ from corpusloom.functions import text as X
 from corpusloom.sources.tables import persisted
 
 BLOCK = 4096
+#: Up to so many pairs of open groups are settled in one ordered pass; more are settled in parallel rounds until so few are left.
+ONE_PASS = 500_000
 
 
 @dataclass(frozen=True)
@@ -118,21 +120,44 @@ def candidate_groups(store: DataFrame, jobs: list[Job], *, num_chunks: int = 3,
     return seeds.join(own, "seed").mapInPandas(grow, "seed long, job_index int, members array<long>, similarities array<double>")
 
 
-def settle_groups(groups: DataFrame, used: DataFrame | None = None) -> DataFrame:
+def _in_order(edges: DataFrame) -> DataFrame:
+    """The ranks that stay, in one pass over a bounded number of pairs."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        used: set[tuple[int, int]] = set()
+        stays, now, pairs = [], None, []
+
+        def close() -> None:
+            if now is not None and not used.intersection(pairs):
+                used.update(pairs)
+                stays.append(now)
+
+        for batch in batches:
+            for seed, job, a, b in zip(batch["seed"], batch["job_index"], batch["a"], batch["b"], strict=True):
+                if (seed, job) != now:
+                    close()
+                    now, pairs = (seed, job), []
+                pairs.append((a, b))
+        close()
+        yield pd.DataFrame(stays, columns=["seed", "job_index"])
+
+    flat = edges.select("_rank.seed", "_rank.job_index", "a", "b").repartition(1).sortWithinPartitions("seed", "job_index")
+    return flat.mapInPandas(run, "seed long, job_index int").select(F.struct("seed", "job_index").alias("_rank"))
+
+
+def settle_groups(groups: DataFrame, used: DataFrame | None = None, one_pass: int = ONE_PASS) -> DataFrame:
     """The groups that stay if, by (seed, job_index), each goes whose members share a pair with one that stays, or with ``used`` (a, b).
 
-    A group stays once it is first among the open groups of all its pairs; those that share a pair with it go. This repeats until
-    none is open, which is the sequential answer. Groups of one chunk have no pairs: the first of each seed stays.
+    A group stays once it is first among the open groups of all its pairs; those that share a pair with it go. This repeats until few
+    are open, which a last ordered pass settles: the sequential answer. Groups of one chunk have no pairs: the first of each seed stays.
     """
-    ranked = groups.withColumn("_rank", F.struct("seed", "job_index"))
-    single = ranked.where(F.size("members") < 2).withColumn("_n", F.row_number().over(Window.partitionBy("seed").orderBy("job_index"))).where("_n = 1").drop("_n")
-    paired = persisted(ranked.where(F.size("members") >= 2))
-    edges = paired.select("_rank", F.explode(F.array_distinct(X.pairs("members"))).alias("p")).select("_rank", "p.a", "p.b")
+    paired = persisted(groups.withColumn("_rank", F.struct("seed", "job_index")))
+    edges = paired.where(F.size("members") >= 2).select("_rank", F.explode(F.array_distinct(X.pairs("members"))).alias("p")).select("_rank", "p.a", "p.b")
     if used is not None:
         taken = edges.join(used.select("a", "b").distinct(), ["a", "b"], "left_semi").select("_rank").distinct()
         edges = edges.join(taken, "_rank", "left_anti")
     edges, kept = persisted(edges), None
-    while not edges.isEmpty():
+    while edges.count() > one_pass:
         first = F.min("_rank").over(Window.partitionBy("a", "b"))
         state = edges.withColumn("_first", F.col("_rank") == first)
         won = persisted(state.groupBy("_rank").agg(F.bool_and("_first").alias("ok")).where("ok").select("_rank"))
@@ -140,8 +165,10 @@ def settle_groups(groups: DataFrame, used: DataFrame | None = None) -> DataFrame
         lost = edges.join(won, "_rank", "left_semi").select("a", "b").distinct()
         gone = edges.join(lost, ["a", "b"], "left_semi").select("_rank").distinct()
         edges = persisted(edges.join(gone, "_rank", "left_anti"))
-    stays = paired.join(kept, "_rank", "left_semi") if kept is not None else paired.limit(0)
-    return stays.unionByName(single).drop("_rank")
+    last = _in_order(edges)
+    kept = last if kept is None else kept.union(last)
+    single = paired.where(F.size("members") < 2).withColumn("_n", F.row_number().over(Window.partitionBy("seed").orderBy("job_index"))).where("_n = 1").drop("_n")
+    return paired.join(kept, "_rank", "left_semi").unionByName(single).drop("_rank")
 
 
 def used_pairs(output: DataFrame, skip_status: str | None = None) -> DataFrame:
