@@ -88,7 +88,9 @@ def top_similar(store: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
 
 def candidate_groups(store: DataFrame, jobs: list[Job], *, num_chunks: int = 3, constraint: str | None = None, min_docs: int = 1, max_candidates: int = 200) -> DataFrame:
     """(seed, job_index, members): at most one group a seed and job, as it is before pairs are compared among groups."""
-    facts = store.select(F.col("seq").cast("long").alias("cand"), "document_id", X.words(F.coalesce("text", F.lit(""))).alias("words"))
+    # Words travel with every candidate, so as hashes, and only if a job counts them.
+    words = F.transform(X.words(F.coalesce("text", F.lit(""))), lambda w: F.xxhash64(w)) if any(j.min_words for j in jobs) else F.array().cast("array<bigint>")
+    facts = persisted(store.select(F.col("seq").cast("long").alias("cand"), "document_id", words.alias("words")))
     rows = top_similar(store, max_candidates + 1).join(facts, "cand")
     # A seed's candidates are at most max_candidates + 1 rows.
     seeds = rows.groupBy("seed").agg(F.array_sort(F.collect_list(F.struct("rank", "cand", "similarity", "document_id", "words"))).alias("cands"))
