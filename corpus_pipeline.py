@@ -4,14 +4,14 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 All but the last return the columns of documents; the last returns the pieces of packed sequences.
 
 - language: documents without a recognised language (und) go; the automata are fitted on this corpus's labelled rows.
-- simhash: one document of each near-duplicate group stays, that of the least doc_id.
+- simhash: one document of each near-duplicate group stays, that of the least doc_id (null if the group has no other).
 - secrets: each stretch of secrets is replaced by a mask; n_chars follows.
 - mixing: a document appears as often as the mix takes it whole, and once more cut after the words that a last block takes of it;
   a document of which nothing is taken goes.
 - packing: every row is tokenized and packed.
 
-Null texts have no language and go first; null languages and sources stay as they are; repeated rows of a doc_id become one in the
-second stage; extra columns are dropped in the first; an empty table runs through to no pieces.
+Null texts have no language and go first; null languages and sources stay as they are; repeated rows become one in the
+second stage, and unlike texts of one doc_id all stay; extra columns are dropped in the first; an empty table runs through to no pieces.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ compared with those not yet reached, so a tight cluster costs about its size. At
 bucket still holds only hundreds of random ones.
 
 Nulls: a null text counts as empty, whose fingerprint is zero, linked like any other; a null doc_id never is a component's
-id unless nothing else is in it. Repeated rows stay rows of their own. An empty table gives an empty result. Extra columns
+id unless nothing else is in it. Repeated rows stay rows of their own; ``dedup`` keeps one row a group. An empty table gives an empty result. Extra columns
 are dropped by the query and kept by ``dedup``.
 """
 
@@ -144,17 +144,23 @@ def near_duplicates(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def dedup(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """One document of each group stays: the first row of the least doc_id. All columns of ``docs`` are kept.
+    """One document of each group stays: the first by (doc_id, nulls last, hash of the text). All columns of ``docs`` are kept.
 
-    Rows of that doc_id with other texts go, as their group or their id is there already; a group of null ids keeps one row.
+    A row counts for the group of its own text: of a repeated doc_id each group's row stays, and each group of null ids keeps one.
     """
     from pyspark.sql import Window
 
-    prints = stash(docs.select("doc_id", simhash(F.col("text")).alias("fp")))
-    kept = near_duplicates(prints, distance).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    joined = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    return joined.withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row")
+    # Both hashes together tell texts and ids apart; equal ones are copies of one row.
+    marks = {"_text": F.xxhash64("text"), "_both": F.xxhash64(F.lit(1), "doc_id", "text")}
+    prints = stash(docs.select("doc_id", simhash(F.col("text")).alias("fp"), *[c.alias(n) for n, c in marks.items()]))
+    one = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text", "_both")).alias("_first"))
+    groups = components(links(one.select("fp"), distance))
+    named = one.join(groups, F.col("fp") == F.col("node"), "left").groupBy(F.coalesce("component", "fp")).agg(F.min("_first").alias("_first"))
+    kept = named.select(F.col("_first._text").alias("_kept_text"), F.col("_first._both").alias("_kept_both"))
+    # Copies are reduced ahead of the shuffle, which serves the join too.
+    first = Window.partitionBy("_text", "_both").orderBy("_text")
+    single = docs.withColumns(marks).withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
+    return single.join(kept, (F.col("_text") == F.col("_kept_text")) & (F.col("_both") == F.col("_kept_both"))).drop("_text", "_both", "_nth", "_kept_text", "_kept_both")
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:

@@ -96,3 +96,12 @@ def test_ties_and_null_ids(rows):
     df = rows("doc_id long, fp long", (None, 5), (None, 5), (3, 5), (3, 5), (None, -1))
     found = [(r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(df).collect()]
     assert sorted(found, key=str) == sorted([(None, 3), (None, 3), (3, 3), (3, 3), (None, None)], key=str)
+
+
+def test_dedup_by_group_with_null_and_repeated_ids(rows):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(200)) for x in "abcd")
+    df = rows("doc_id long, text string", (None, a), (None, a + " x"), (None, b), (None, b), (1, c), (1, d), (1, d), (2, c + " x"), (3, a[:-4] + "zzz"), (None, None))
+    kept = [(r["doc_id"], r["text"]) for r in simhash.dedup(df).collect()]
+    prints = [simhash.fingerprint(t) for t in (a, a + " x", a[:-4] + "zzz", c, c + " x")]
+    assert all((p ^ prints[0]).bit_count() <= 4 for p in prints[1:3]) and (prints[3] ^ prints[4]).bit_count() <= 4
+    assert sorted(kept, key=str) == sorted([(3, a[:-4] + "zzz"), (None, b), (1, c), (1, d), (None, None)], key=str)
