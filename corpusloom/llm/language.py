@@ -1,7 +1,8 @@
 """Language identification by cross-parsing entropy.
 
 For each language, a suffix automaton of a bounded sample of labelled text. A text is parsed greedily into the longest
-phrases that occur in the sample; the language that needs the fewest phrases for the text's length wins. The automata are
+phrases that occur in the sample; the language that needs the fewest phrases for the text's length wins. Every letter of the
+samples is a symbol of its own, in whatever script; letters that no sample has share one. The automata are sparse
 tables of transitions, so texts are parsed many stretches at a time: a text is cut into stretches of ``WIDTH`` symbols,
 each parsed from the root, and its phrases are summed, which covers whole texts of any length in even work.
 
@@ -13,7 +14,6 @@ named lang_pred and score are replaced.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,17 +23,24 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import bounded_sample, crc_mod, table
 
-PER_LANGUAGE, SAMPLE, LETTERS, WIDTH, UND = 48, 20_000, 45, 256, "und"
+PER_LANGUAGE, SAMPLE, WIDTH, UND = 48, 20_000, 256, "und"
 #: Texts are parsed in lots of about so many code points, which bounds a worker's memory.
 LOT = 2_000_000
 
 
-def automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """The suffix automaton as a flat table: at ``state * alphabet + symbol``, twice the next state, plus 1 where a phrase begins with the symbol.
+@dataclass
+class Automaton:
+    """A suffix automaton whose rows of transitions lie over each other in one table (row displacement).
 
-    The last state stands before a text and after a symbol that the sample lacks: from it every symbol begins a phrase. The alphabet's
-    last symbol is padding and stays where it is.
+    The last state stands before a text and after a symbol that the sample lacks: from it every symbol begins a phrase.
     """
+
+    root: np.ndarray  #: by symbol, the state after a phrase's first symbol
+    base: np.ndarray  #: by state, where its row begins
+    slots: np.ndarray  #: at base + symbol, the state the slot belongs to (high half) and the next state (low half)
+
+
+def automaton(symbols: list[int], alphabet: int) -> Automaton:
     nexts, links, lengths, last = [{}], [-1], [0], 0
     for c in symbols:
         cur = len(nexts)
@@ -58,20 +65,32 @@ def automaton(symbols: list[int], alphabet: int) -> np.ndarray:
                     p = links[p]
                 links[q] = links[cur] = copy
         last = cur
-    root = np.array([nexts[0].get(c, len(nexts)) for c in range(alphabet)], np.int32)
-    out = np.tile(root * 2 + 1, (len(nexts) + 1, 1)).astype(np.int32)
-    for state, to in enumerate(nexts):
-        out[state, list(to)] = [2 * t for t in to.values()]
-    out[:, alphabet - 1] = 2 * np.arange(len(nexts) + 1)
-    return out.ravel()
+    root = np.array([nexts[0].get(c, len(nexts)) for c in range(alphabet)], np.int64)
+    base = np.zeros(len(nexts) + 1, np.int64)
+    # No phrase returns to the root, so its row is not filed. Half of the slots stay free, and wide rows come first.
+    mask = (1 << (2 * sum(map(len, nexts[1:]))).bit_length()) - 1
+    slots = np.full(mask + 1 + alphabet, -1, np.int64)
+    used, at, tries = bytearray(len(slots)), 0, 0
+    for state in sorted(range(1, len(nexts)), key=lambda s: -len(nexts[s])):
+        row = nexts[state]
+        while any(used[at + c] for c in row):
+            at, tries = at + 1 & mask, tries + 1
+            if tries > mask:
+                slots, used = np.concatenate((slots, np.full(mask + 1, -1, np.int64))), used + bytes(mask + 1)
+                mask, tries = 2 * mask + 1, 0
+        base[state], tries = at, 0
+        for c, to in row.items():
+            used[at + c] = 1
+            slots[at + c] = state << 32 | to
+        at = at + 7919 & mask
+    return Automaton(root, base, slots)
 
 
 @dataclass
 class Model:
     languages: list[str]
     symbol_of: np.ndarray  #: by code point; 0 is a gap between words
-    alphabet: int
-    tables: list[np.ndarray]
+    tables: list[Automaton]
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """By text and language the phrases needed, and by text the symbols other than gaps."""
@@ -82,15 +101,21 @@ class Model:
         lanes = -(-sizes // WIDTH)
         owner = np.repeat(np.arange(len(texts)), lanes)
         first = np.repeat(starts, lanes) + (np.arange(len(owner)) - np.repeat(np.cumsum(lanes) - lanes, lanes)) * WIDTH
-        at = first[:, None] + np.arange(WIDTH)
-        grid = np.where(at < ends[owner][:, None], symbols[np.minimum(at, len(symbols) - 1)], self.alphabet - 1).astype(np.int32).T.copy() if len(owner) else np.zeros((0, 0), np.int32)
+        # Long stretches first: at each step those that go on are a prefix.
+        left = np.minimum(ends[owner] - first, WIDTH)
+        order = np.argsort(-left, kind="stable")
+        owner, first, left = owner[order], first[order], left[order]
+        going = len(left) - np.searchsorted(left[::-1], np.arange(WIDTH), "right")
+        rows = [symbols[first[:n] + k] for k, n in enumerate(going.tolist()) if n]
         found = np.zeros((len(texts), len(self.languages)))
         for k, tab in enumerate(self.tables):
-            state, broken = np.full(len(owner), len(tab) // self.alphabet - 1, np.int32), np.zeros(len(owner), np.int64)
-            for row in grid:
-                to = tab[state * self.alphabet + row]
-                broken += to & 1
-                state = to >> 1
+            state, broken = np.full(len(owner), len(tab.base) - 1), np.zeros(len(owner), np.int64)
+            for row in rows:
+                n = len(row)
+                slot = tab.slots[tab.base[state[:n]] + row]
+                new = slot >> 32 != state[:n]
+                broken[:n] += new
+                state[:n] = np.where(new, tab.root[row], slot & 0xFFFFFFFF)
             found[:, k] = np.bincount(owner, weights=broken, minlength=len(texts))
         return found, letters
 
@@ -99,25 +124,23 @@ def _symbols(texts: list[str], symbol_of: np.ndarray) -> tuple[np.ndarray, np.nd
     """All texts' symbols in a row, gaps run together, and where each text ends."""
     low = [t.lower() for t in texts]
     points = np.frombuffer("".join(low).encode("utf-32-le", "replace"), "<u4")
-    raw = symbol_of[np.minimum(points, len(symbol_of) - 1)]
+    raw = symbol_of[points]
     ends = np.cumsum([len(t) for t in low])
     keep = np.ones(len(raw), bool)
     keep[1:] = (raw[1:] > 0) | (raw[:-1] > 0)
     return raw[keep], np.concatenate(([0], np.cumsum(keep)))[ends] if len(raw) else ends
 
 
-def train(rows: list[tuple[str, str]], sample: int = SAMPLE, letters: int = LETTERS) -> Model:
-    """From (language, text) rows. The alphabet is the sample's commonest letters, one symbol for all others, and the gap."""
+def train(rows: list[tuple[str, str]], sample: int = SAMPLE) -> Model:
+    """From (language, text) rows. The alphabet is the gap, one symbol for letters that the sample lacks, and every letter it has."""
     texts: dict[str, list[str]] = {}
     for lang, text in rows:
         texts.setdefault(lang, []).append(text)
     languages = sorted(texts)
     part = {lang: [t[: max(200, 2 * sample // len(texts[lang]))] for t in texts[lang]] for lang in languages}
-    counts = Counter(c for lang in languages for t in part[lang] for c in t.lower() if c.isalpha())
-    known = {c: i + 2 for i, (c, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:letters])}
-    symbol_of = np.array([known.get(chr(i), 1 if chr(i).isalpha() else 0) for i in range(0x10000)] + [1], np.int32)
-    alphabet = len(known) + 3
-    return Model(languages, symbol_of, alphabet, [automaton(_symbols(["\n".join(part[lang])], symbol_of)[0][:sample].tolist(), alphabet) for lang in languages])
+    known = {c: i for i, c in enumerate(sorted({c for lang in languages for t in part[lang] for c in t.lower() if c.isalpha()}), 2)}
+    symbol_of = np.array([known.get(chr(i), 1) if chr(i).isalpha() else 0 for i in range(0x110000)], np.int32)
+    return Model(languages, symbol_of, [automaton(_symbols(["\n".join(part[lang])], symbol_of)[0][:sample].tolist(), len(known) + 2) for lang in languages])
 
 
 def judge(model: Model, texts: list[str | None], sample: int = SAMPLE) -> tuple[list[str], list[float]]:

@@ -69,3 +69,19 @@ def test_score_is_a_share():
     model = language.train([(lang, text(lang, 100, 3)) for lang in SOUNDS])
     langs, scores = language.judge(model, [text("de", 30, 9), "x"])
     assert langs[0] == "de" and scores[0] > 0.99 and scores[1] == pytest.approx(1 / 3, abs=0.4) and not math.isnan(scores[1])
+
+
+def test_many_scripts_at_once():
+    """Languages that share a script, in several scripts with more letters together than any small alphabet holds."""
+    scripts = {"latin": (97, 26), "cyrillic": (0x430, 32), "arabic": (0x621, 26), "hebrew": (0x5D0, 27), "greek": (0x3B1, 17), "thai": (0xE01, 46), "kana": (0x3042, 80), "hangul": (0xAC00, 900), "han": (0x4E00, 2500), "astral": (0x10428, 40)}
+    sounds = {}
+    for name, (start, n) in scripts.items():
+        for k in range(2):
+            rng = random.Random(f"{name}{k}")
+            letters = [c for i in range(start, start + n) if (c := chr(i)).isalpha()]
+            sounds[f"{name}{k}"] = ["".join(rng.choices(letters, k=3)) for _ in range(60)]
+    make = lambda lang, n, seed: " ".join("".join(random.Random(f"{seed}/{i}").choices(sounds[lang], k=2)) for i in range(n))
+    model = language.train([(lang, make(lang, 300, 1)) for lang in sounds])
+    texts = [make(lang, 12, seed) for lang in sounds for seed in (2, 3, 4)]
+    assert language.judge(model, texts)[0] == [lang for lang in sounds for _ in range(3)]
+    assert len(set(language._symbols(["".join(map("".join, sounds.values()))], model.symbol_of)[0])) > 500
