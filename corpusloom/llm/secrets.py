@@ -3,7 +3,8 @@
 Base kinds come from plain rules (assign, access, hex). Beyond them, base64 and hex candidates are decoded, and a span is
 reported only if what they hold parses: a signed token's header and payload as JSON objects (jwt), a private key whose
 nested lengths add up to the last byte (key: PEM armour around one; der: bare), an OpenSSH key's nested strings (ssh), or
-text that holds a base secret itself (encoded). Offsets are code points, ends exclusive; spans of different kinds may overlap.
+text that holds any of these itself, but not a bare hex run (encoded); text inside encoded text is followed ``DEPTH`` deep. Decoded
+text is UTF-8 with white space but no other control codes. PEM bodies may have real or escaped line breaks of any kind. Offsets are code points, ends exclusive; spans of different kinds may overlap.
 
 A null text counts as empty and has no spans; repeated rows are scanned one by one; an empty table stays empty; extra
 columns pass through, and one called ``secrets`` is replaced. Each text is scanned whole, on its own, in one task.
@@ -35,7 +36,10 @@ _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,}
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 _HEXES = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){16,}(?![0-9A-Fa-f])")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(.*?)-----END \1-----", re.S)
-_LONG = 20
+#: Line breaks, also escaped once or more; codes that text doesn't have.
+_BREAK = re.compile(r"(?:\\+r)?\\+n|\\+r|\r\n?")
+_CONTROL = re.compile(r"[\0-\x08\x0e-\x1f\x7f-\x84\x86-\x9f]")
+_LONG, DEPTH = 20, 4
 
 
 def _unbase64(text: str) -> bytes | None:
@@ -127,7 +131,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
-def _kind(raw: bytes | None) -> int | None:
+def _kind(raw: bytes | None, depth: int) -> int | None:
     """The rank of the kind that decoded bytes confirm."""
     if not raw:
         return None
@@ -135,13 +139,24 @@ def _kind(raw: bytes | None) -> int | None:
         return 5
     if private_ssh(raw):
         return 6
-    if raw.isascii() and (text := raw.decode()).isprintable() and any(kind < 2 for _, kind, _ in base_spans(text)):
-        return 7
+    if depth < DEPTH:
+        try:
+            text = raw.decode("utf-8-sig")
+        except UnicodeDecodeError:
+            return None
+        if not _CONTROL.search(text) and any(kind != "hex" for kind, _, _ in find(text, depth + 1)):
+            return 7
     return None
 
 
-def find(text: str | None) -> list[tuple[str, int, int]]:
-    """All spans by start, then kind."""
+def _pem_body(body: str) -> bytes:
+    """What a PEM body encodes, its headers left out."""
+    lines = "\n".join(line.strip() for line in _BREAK.sub("\n", body).split("\n")).strip()
+    return _unbase64("".join((lines.rpartition("\n\n")[2] if ":" in lines else lines).replace("\\/", "/").split())) or b""
+
+
+def find(text: str | None, depth: int = 0) -> list[tuple[str, int, int]]:
+    """All spans by start, then kind, of a text that was decoded ``depth`` times."""
     if not text:
         return []
     found = base_spans(text)
@@ -150,15 +165,14 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
             if signed_token(m[1], m[2]):
                 found.append((m.start(), 3, m.end()))
         for m in _BASE64.finditer(text):
-            if (kind := _kind(_unbase64(m[0]))) is not None:
+            if (kind := _kind(_unbase64(m[0]), depth)) is not None:
                 found.append((m.start(), kind, m.end()))
         for m in _HEXES.finditer(text):
-            if (kind := _kind(bytes.fromhex(m[0]))) is not None:
+            if (kind := _kind(bytes.fromhex(m[0]), depth)) is not None:
                 found.append((m.start(), kind, m.end()))
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
-            body = m[2].rpartition("\n\n")[2] if ":" in m[2] else m[2]
-            raw = _unbase64("".join(body.split())) or b""
+            raw = _pem_body(m[2])
             if private_der(raw) or private_ssh(raw) or ("ENCRYPTED" in m[1] + m[2] and len(raw) >= 32):
                 found.append((m.start(), 4, m.end()))
     return [(KINDS[k], s, e) for s, k, e in sorted(set(found))]

@@ -70,3 +70,23 @@ def test_redaction(docs):
         clean = secrets.redacted(t)
         assert not t or not secrets.find(t) or secrets.MASK in clean
     assert secrets.scan(docs("x").limit(0)).count() == 0
+
+
+def test_decoded_text_of_any_shape_is_searched():
+    kinds = lambda t: [k for k, _, _ in secrets.find(t)]
+    env = "# réglages\r\nHOST=db\tmain\r\npassword=hunter22\r\n".encode()
+    for raw in (b"password=hunter22\n", env, b"\xef\xbb\xbf" + env, json.dumps({"a": [1, 2], "token": "abcdefgh"}, indent=1).encode(), PEM.encode(), f"auth {JWT}\n".encode(), b64(b"password=hunter22\n").encode() + b"\n"):
+        assert kinds(f"x {b64(raw)} y") == ["encoded"], raw
+        assert "encoded" in kinds(f"x {raw.hex()} y"), raw
+        assert secrets.redacted(f"x {b64(raw)} y") == "x [SECRET] y"
+    for raw in (b"0123456789abcdef0123456789abcdef\n", b"password=hunter22\0", b"password=hunter22 \xff", b"several lines\nof plain text\n"):
+        assert "encoded" not in kinds(f"x {b64(raw)} y"), raw
+
+
+def test_pem_line_breaks():
+    locked = PEM.replace("KEY-----\n", "KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00\n\n", 1)
+    for pem in (PEM, locked):
+        for line_break in ("\\n", "\\r\\n", "\\\\n", "\r\n", "\n    "):
+            text = pem.replace("\n", line_break)
+            assert ("key", 5, 5 + len(text)) in secrets.find(f"k = '{text}'"), line_break
+    assert "key" not in [k for k, _, _ in secrets.find(PEM.replace(b64(RSA)[:4], "AAAA").replace("\n", "\\n"))]
