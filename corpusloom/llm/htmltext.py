@@ -4,7 +4,7 @@ A page is read once into blocks of text. Words score positive and tags negative;
 of the highest sum, the content region. The weights come from labelled pages: those of a bounded sample whose own markup
 says which region is the content (an article or main element). What menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and comments hold scores against the region and is left out of it; a region inside an article, main
-or other container element is widened to that element, so that no short block at its edge is lost.
+or other container element is widened to the smallest that holds all of it, so that no short block at its edge is lost, and never cut.
 
 Null or empty html gives an empty text; malformed, unclosed and truncated markup is read as far as it goes; repeated rows are
 read one by one; an empty table stays empty; extra columns pass through and those named text and n_chars are replaced. Every page
@@ -177,17 +177,11 @@ def region(found: list[Block], names: dict[int, str], weights: Weights) -> tuple
         return 0, 0
     inner = [b for b in found[lo:hi] if not b.outside]
     shared = set(inner[0].path).intersection(*(b.path for b in inner))
-    # By word, which region element holds most of what was found? Else the innermost container of all of it, short of the body.
-    held: dict[int, int] = {}
-    for b in inner:
-        for n in b.path:
-            if names[n] in _REGIONS:
-                held[n] = held.get(n, 0) + b.words
-    most = [n for n, w in held.items() if 2 * w > sum(b.words for b in inner)]
-    box = max(most or [n for n in shared if names[n] in _CONTAINERS], default=None)
+    # The run is never cut: it is widened to the smallest region element that holds all of it, else the innermost container short of the body.
+    box = max([n for n in shared if names[n] in _REGIONS] or [n for n in shared if names[n] in _CONTAINERS], default=None)
     if box is not None:
         within = [k for k, b in enumerate(found) if box in b.path]
-        lo, hi = min(lo, within[0]) if not most else within[0], max(hi, within[-1] + 1) if not most else within[-1] + 1
+        lo, hi = min(lo, within[0]), max(hi, within[-1] + 1)
     return lo, hi
 
 

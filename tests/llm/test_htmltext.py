@@ -63,3 +63,15 @@ def test_query(spark, rows, save):
     assert len(found) == len(data) and {r["page_id"]: r["text"] for r in found if r["page_id"] < 90} == {i: e for i, (_, e) in enumerate(PAGES)}
     assert all(r["n_chars"] == len(r["text"]) for r in found) and max(r["n_chars"] for r in found) == 549_999
     assert htmltext.op9_html(spark, save(pages=rows(KIND, *data).limit(0))).count() == 0
+
+
+def test_the_run_is_never_cut():
+    w = htmltext.Weights(1.0, 0.1, {"p": -1.0, "article": -1.0, "main": -1.0, "h1": -1.0}, -3.0)
+    words = lambda k, n: " ".join(f"{k}{i}" for i in range(n))
+    a, b = words("a", 60), words("b", 40)
+    two = f"<body><nav>Home</nav><main><article><p>{a}</p></article><article><p>{b}</p></article></main></body>"
+    assert htmltext.extract(two, w) == f"{a}\n{b}"
+    lead = f"<body><main><h1>The title</h1><p>{words('l', 12)}</p><article><p>{a}</p></article></main><footer>end</footer></body>"
+    assert htmltext.extract(lead, w) == f"The title\n{words('l', 12)}\n{a}"
+    one = f"<body><p>x</p><article><p>short</p><p>{a}</p><p>end</p></article><p>x</p></body>"
+    assert htmltext.extract(one, w) == f"short\n{a}\nend"
