@@ -4,8 +4,10 @@ Folding lowers letters, strips common accents, and maps homoglyphs and digit sub
 code point to one. A lexicon term counts where it stands as a whole word and not inside an exception phrase. The sum of the
 weights found, divided by the logarithm of the text's words, goes through a logistic curve.
 
-Learned from a bounded sample of labelled rows (``PER_CLASS`` of each class, lowest seeded hash of doc_id): a term's weight is its
-log odds in toxic texts. Near copies would count a text's words many times over, so a word's frequency counts texts of different
+Learned from a bounded sample of labelled rows (``PER_CLASS`` of each class, lowest seeded hash of doc_id), of which whole texts
+teach, read on the executors: a term's weight is its log odds in toxic texts. A term needs ``LEAST_TEXTS`` such texts, odds of
+e^``LEAST_ODDS`` and a signed root of the likelihood ratio of ``LEAST_ROOT``, none of which grows with the sample; at most ``TERMS`` are
+kept, those of the highest odds. Near copies would count a text's words many times over, so a word's frequency counts texts of different
 least 5-word shingle. Phrases of a term and a neighbour that the sample shows mainly in clean texts become exceptions, beside a
 fixed list. Nulls: a null text counts as empty; labels that are null or without text teach nothing; with no labels every score is
 the prior 0.5 below the cut. Repeated rows are scored one by one; an empty table stays empty; extra columns pass through and those
@@ -20,12 +22,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bounded_sample, crc_mod, table
+from corpusloom.llm.common import bounded_sample, crc_mod, stash, table
 
-PER_CLASS, TERMS, LEAST_SHARE, LEAST_ODDS, LEAST_TEXTS = 2000, 400, 0.05, 2.5, 5
+PER_CLASS, TERMS, LEAST_ODDS, LEAST_ROOT, LEAST_TEXTS = 2000, 400, 2.5, 4.0, 5
 #: Phrases in which a term of abuse is none.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "idiot proof", "loser bracket", "pond scum", "stupid simple")
 #: Letters and signs that stand for Latin letters.
@@ -101,13 +103,12 @@ class Lexicon:
         return float(1 / (1 + np.exp(-np.clip(self.slope * feature + self.offset, -60, 60))))
 
 
-def _pieces(text: str) -> tuple[int, set[str], set[str]]:
-    """A text's sign of kinship (its least 5-word shingle), its words and its word pairs."""
+def _pieces(text: str) -> tuple[int, set[str]]:
+    """A text's sign of kinship (its least 5-word shingle) and its words."""
     import xxhash
 
     words = words_of(text)
-    shingles = [" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))]
-    return min(map(xxhash.xxh64_intdigest, shingles)), set(words), {f"{a} {b}" for a, b in zip(words, words[1:], strict=False)}
+    return min(xxhash.xxh64_intdigest(" ".join(words[i : i + 5])) for i in range(max(1, len(words) - 4))), set(words)
 
 
 def fit_curve(features: list[float], labels: list[int]) -> tuple[float, float]:
@@ -125,41 +126,63 @@ def fit_curve(features: list[float], labels: list[int]) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def train(rows: list[tuple[int, str]]) -> Lexicon:
-    """From (label, text) rows of a bounded sample."""
-    signs: dict[int, set[int]] = {0: set(), 1: set()}
-    of_word: dict[int, dict[str, set[int]]] = {0: {}, 1: {}}
-    cut = [(label, *_pieces(text)) for label, text in rows]
-    for label, sign, words, _ in cut:
-        signs[label].add(sign)
-        for w in words:
-            of_word[label].setdefault(w, set()).add(sign)
-    n_toxic, n_clean = len(signs[1]), len(signs[0])
-    weights = {}
-    for w, seen in of_word[1].items():
-        t, c = len(seen), len(of_word[0].get(w, ()))
-        odds = np.log((t + 0.5) / (n_toxic + 1)) - np.log((c + 0.5) / (n_clean + 1))
-        if t >= max(LEAST_TEXTS, LEAST_SHARE * n_toxic) and odds >= LEAST_ODDS and len(w) > 2:
-            weights[w] = float(odds)
-    weights = dict(sorted(weights.items(), key=lambda x: (-x[1], x[0]))[:TERMS])
-    pairs: dict[str, list[int]] = {}
-    for label, _, _, both in cut:
-        for p in both:
-            if any(w in weights for w in p.split(" ")):
-                pairs.setdefault(p, [0, 0])[label] += 1
-    learned = sorted(p for p, (clean, toxic) in pairs.items() if clean >= LEAST_TEXTS and clean > 4 * toxic)[:TERMS]
+def _terms(rows: DataFrame) -> dict[str, float]:
+    """The lexicon's terms and weights."""
+    def of(texts: pa.Array) -> pa.Array:
+        cut = [_pieces(t.as_py()) for t in texts]
+        return pa.StructArray.from_arrays([pa.array([s - (1 << 63) for s, _ in cut], pa.int64()), pa.array([sorted(w) for _, w in cut], pa.list_(pa.string()))], ["sign", "words"])
+
+    cut = stash(rows.select("toxic", F.arrow_udf(of, "struct<sign:long,words:array<string>>")(F.col("text")).alias("_cut")).select("toxic", "_cut.*"))
+    sizes = {r["toxic"]: r["n"] for r in cut.groupBy("toxic").agg(F.countDistinct("sign").alias("n")).collect()}
+    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
+    if not n_toxic:
+        return {}
+    by_text = cut.select("toxic", "sign", F.explode("words").alias("word")).where(F.length("word") > 2).distinct()
+    seen = by_text.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).where(F.col("t") >= LEAST_TEXTS)
+    odds = F.log((F.col("t") + 0.5) / (n_toxic + 1)) - F.log((F.col("c") + 0.5) / (n_clean + 1))
+    every, share = F.col("t") + F.col("c"), n_toxic / (n_toxic + n_clean)
+    ratio = F.col("t") * F.log(F.col("t") / (every * share)) + (F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / (every * (1 - share)))).otherwise(0.0) if n_clean else F.lit(0.0))
+    best = seen.select("word", odds.alias("odds"), F.sqrt(F.greatest(2 * ratio, F.lit(0.0))).alias("root"))
+    return {r["word"]: r["odds"] for r in best.where((F.col("odds") >= LEAST_ODDS) & (F.col("root") >= LEAST_ROOT)).orderBy(F.desc("odds"), "word").limit(TERMS).collect()}
+
+
+def _benign(rows: DataFrame, weights: dict[str, float]) -> list[str]:
+    """Pairs of a term and a neighbour that stand mainly in clean texts."""
+    def of(texts: pa.Array) -> pa.Array:
+        found = []
+        for t in texts:
+            words = words_of(t.as_py())
+            found.append(sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False) if a in weights or b in weights}))
+        return pa.array(found, pa.list_(pa.string()))
+
+    pairs = rows.select("toxic", F.explode(F.arrow_udf(of, "array<string>")(F.col("text"))).alias("pair"))
+    seen = pairs.groupBy("pair").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
+    return [r["pair"] for r in seen.where((F.col("c") >= LEAST_TEXTS) & (F.col("c") > 4 * F.col("t"))).orderBy("pair").limit(TERMS).collect()]
+
+
+def train(rows: DataFrame) -> Lexicon:
+    """From the (toxic, text) rows of a bounded sample. Texts stay on the executors; terms, phrases and a feature a row reach the driver."""
+    weights = _terms(rows)
+    learned = _benign(rows, weights) if weights else []
     lexicon = Lexicon(weights, (*EXCEPTIONS, *(p for p in learned if p not in EXCEPTIONS)))
-    automaton = lexicon.automaton()
-    lexicon.slope, lexicon.offset = fit_curve([lexicon.feature(automaton, t) for _, t in rows], [y for y, _ in rows])
+    known = sorted(tuple(r) for r in rows.select(_feature(lexicon).alias("feature"), "toxic").collect())
+    lexicon.slope, lexicon.offset = fit_curve([f for f, _ in known], [y for _, y in known])
     return lexicon
 
 
+def _feature(lexicon: Lexicon) -> Column:
+    def of(texts: pa.Array) -> pa.Array:
+        automaton = lexicon.automaton()
+        return pa.array([lexicon.feature(automaton, t.as_py() or "") for t in texts], pa.float64())
+
+    return F.arrow_udf(of, "double")(F.col("text"))
+
+
 def learn(docs: DataFrame, labels: DataFrame, where, per_class: int = PER_CLASS) -> Lexicon:
     known = labels.where(F.col("toxic").isin(0, 1) & where).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     drawn = bounded_sample(known, ["toxic"], per_class, "doc_id", ["doc_id", "toxic"]).distinct()
-    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(drawn), "doc_id").select("toxic", "text", "doc_id")
-    # A long text teaches no more than a short one: its first part is enough for the lexicon, and the bound holds in bytes.
-    return train([(r["toxic"], r["text"]) for r in sorted(rows.withColumn("text", F.substring("text", 1, 20_000)).toLocalIterator(), key=lambda r: (r["doc_id"], r["toxic"], r["text"]))])
+    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(drawn), "doc_id").select("toxic", "text")
+    return train(stash(rows))
 
 
 def rate(docs: DataFrame, lexicon: Lexicon) -> DataFrame:

@@ -72,3 +72,21 @@ def test_exceptions_and_whole_words():
     assert of("a clown fish swims") == 0 and of("clowns clownish") == 0 and of("you CL0WN!") > 0 and of("clown fish clown") > 0
     assert of("clown") > of("clown " + "word " * 500)
     assert toxicity.Lexicon({}, ()).feature(toxicity.Lexicon({}, ()).automaton(), "x") == 0
+
+
+def test_rare_terms_and_long_texts_teach(spark, docs, rows, save):
+    """80 terms, each in a fortieth of the toxic texts, all beyond the first 20,000 code points."""
+    rng = random.Random(4)
+    terms = ["".join(rng.choices("hijkl", k=6)) for _ in range(80)]
+    data, labels = [], []
+    for i in range(1600):
+        words = ["".join(rng.choices("abcdefg", k=3)) for _ in range(30)]
+        if i % 2:
+            words += [terms[i // 2 % 80], terms[(i // 2 + 1) % 80]]
+        # Some are long; of each class as many.
+        data.append(("abc def " * 3000 if i // 2 % 2 else "") + " ".join(words))
+        labels.append(i % 2)
+    path = save(documents=docs(*data), labels=rows("doc_id long, quality int, toxic int", *[(i, 1, y) for i, y in enumerate(labels)]))
+    found = {r["doc_id"]: r for r in toxicity.op7_toxicity(spark, path).collect()}
+    own = [i for i in found if found[i]["held_out"]]
+    assert len(own) > 200 and sum(found[i]["predicted"] == labels[i] for i in own) >= 0.99 * len(own)
