@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A word is a run of anything but space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
+#: So many narrow rows may be broadcast.
+FEW = 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,12 +53,18 @@ def bounded_sample(df: DataFrame, by: list[str], per_group: int, order: str, col
     """The ``per_group`` rows of lowest seeded hash of ``order`` in each group: a bounded sample that doesn't depend on partitions.
 
     Groups are counted first, and only rows whose hash lies in the lowest part, wide enough for three times the sample, are shuffled and
-    ranked. The counts are broadcast: groups are the classes of a model, which holds a lexicon or an automaton for each.
+    ranked. The counts are broadcast while there are at most ``FEW`` groups; beyond that Spark joins as it sees fit.
     """
     from pyspark.sql import Window
 
-    hashed = df.withColumn("_h", F.xxhash64(F.col(order), F.lit(11)))
-    sizes = df.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(F.count(F.lit(1)).alias("_size"))
-    low = hashed.join(F.broadcast(sizes), [F.col(c) == F.col(f"_{c}") for c in by]).where(F.col("_h") / 2.0**64 + 0.5 <= 3.0 * per_group / F.col("_size"))
-    w = Window.partitionBy(*by).orderBy("_h", order)
-    return low.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= per_group).select(*columns)
+    named = df.select(*[F.col(c).alias(f"b{k}") for k, c in enumerate(by)], F.col(order).alias("o"), F.struct(*columns).alias("row")).withColumn("h", F.xxhash64("o", F.lit(11)))
+    keys = [f"b{k}" for k in range(len(by))]
+    sizes = few(stash(named.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))))
+    low = named.join(sizes, keys).where(F.col("h") / 2.0**64 + 0.5 <= 3.0 * per_group / F.col("size"))
+    w = Window.partitionBy(*keys).orderBy("h", "o")
+    return low.withColumn("n", F.row_number().over(w)).where(F.col("n") <= per_group).select("row.*")
+
+
+def few(df: DataFrame, bound: int = FEW) -> DataFrame:
+    """Marked for broadcast if it is counted to have at most ``bound`` (narrow) rows. The table must be cheap to read twice."""
+    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
