@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom import prompts as P
 from corpusloom.functions import text as X
 from corpusloom.models import HashEmbedder, ScriptedClient, embed
 from corpusloom.operators import edit, filters, generate, retry
@@ -17,7 +20,7 @@ from corpusloom.sources import corpus, fixtures, store
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-CFG = T.CorpusConfig(min_chars=800, max_chars=3000, summaries=True)
+CFG = T.CorpusConfig(summaries=True)
 STYLES = ("easy", "medium", "hard")
 JOBS = [S.Job("above", threshold=0.2), S.Job("range", least=-0.05, most=0.15, min_words=2), S.Job("below", threshold=0.25)]
 CLIENT = ScriptedClient((
@@ -43,12 +46,16 @@ def query(sql: str | None = None):
 
 # --- SQL shared by several oracles -----------------------------------------------------------------------------------------
 
-_CHUNKS = """
+def _chunks(most: int = 120_000) -> str:
+    return f"""
 chunks as (select doc_id::varchar as hf_row_id, source as document_id, source as document_name, row_number() over (partition by source order by doc_id) - 1 as chunk_index, text, doc_id as seq from documents),
 flat as (select *, trim(regexp_replace(text, '\\s+', ' ', 'g')) as t from chunks),
-cut as (select *, left(t, 3000) as h, length(left(t, 3000)) - instr(reverse(left(t, 3000)), '.') as dot from flat),
-valid as (select *, case when length(t) <= 3000 then t when instr(h, '.') > 0 and dot >= 800 then left(h, dot + 1) else h end as prompt_text from cut),
+cut as (select *, left(t, {most}) as h, length(left(t, {most})) - instr(reverse(left(t, {most})), '.') as dot from flat),
+valid as (select *, case when length(t) <= {most} then t when instr(h, '.') > 0 and dot >= 800 then left(h, dot + 1) else h end as prompt_text from cut),
 kept as (select * from valid where chunk_index <> 0 and length(prompt_text) >= 800)"""
+
+
+_CHUNKS = _chunks()
 _CONV = """
 conv as (select conv_id as id, list({'role': role, 'content': text} order by turn) as messages from conversations group by conv_id)"""
 _QA = """
@@ -68,6 +75,13 @@ def valid_chunks(spark, sf_dir):
     return rows.select("hf_row_id", "document_id", "chunk_index", F.length("prompt_text").alias("n_chars"), F.md5("prompt_text").alias("digest"))
 
 
+@query(f"with {_chunks(3000)} select hf_row_id, length(prompt_text)::integer as n_chars, md5(prompt_text) as digest from kept")
+def truncated_chunks(spark, sf_dir):
+    """Prompts of at most 3,000 characters, where most chunks are cut at a full stop."""
+    rows = T.valid_chunks(fixtures.chunks(spark, sf_dir), T.CorpusConfig(max_chars=3000))
+    return rows.select("hf_row_id", F.length("prompt_text").alias("n_chars"), F.md5("prompt_text").alias("digest"))
+
+
 @query(f"with {_CHUNKS} select document_id, length(trim(text))::integer as n_chars from chunks where chunk_index = 0 and trim(text) <> ''")
 def doc_summaries(spark, sf_dir):
     return T.doc_summaries(fixtures.chunks(spark, sf_dir), CFG).select("document_id", F.length("summary").alias("n_chars"))
@@ -101,6 +115,14 @@ def retry_tasks(spark, sf_dir):
     return T.style_tasks(chunks, list(STYLES), CFG, retry=again.withColumnRenamed("hf_row_id", "group_key")).select("hf_row_id", "question_style")
 
 
+@query(f"""with {_CHUNKS} select hf_row_id, s as question_style from kept, (select unnest(['easy', 'medium', 'hard']) as s) where not (seq % 2 = 0 and s = 'easy') and not (seq % 5 = 0 and s = 'hard')""")
+def done_pairs(spark, sf_dir):
+    """Tasks but for the (chunk, style) pairs that an earlier output holds."""
+    chunks = fixtures.chunks(spark, sf_dir)
+    done = chunks.where("seq % 2 = 0").select("hf_row_id", F.lit("easy").alias("question_style")).union(chunks.where("seq % 5 = 0").select("hf_row_id", F.lit("hard")))
+    return T.pending_pairs(T.style_tasks(chunks, list(STYLES), CFG), done.withColumnRenamed("hf_row_id", "group_key")).select("hf_row_id", "question_style")
+
+
 @query(f"with {_CHUNKS} select (select count(*) from kept) * 3 as estimate")
 def estimate_rows(spark, sf_dir):
     return generate.estimate(T.style_tasks(fixtures.chunks(spark, sf_dir), list(STYLES), CFG))
@@ -185,7 +207,7 @@ _SCORE_TEXT = "'Fidelidade: ' || (1 + {0} % 5) || chr(10) || 'CORREÇÃO : ' ||
 
 
 @query(f"""with {_CONV}, r as (select id, messages, {_SCORE_TEXT.format("id")} as response from conv),
-s as (select id, list_transform(regexp_extract_all(response, '(?i)(?:fidelidade|correção|corre[cç][aã]o|clareza|coer[eê]ncia|diversidade|completude)\\s*:\\s*(\\d(?:[.,]\\d)?)', 1), lambda x: replace(x, ',', '.')::double) as scores from r)
+s as (select id, list_transform(regexp_extract_all(strip_accents(lower(response)), '({"|".join(["fidelidade", "correcao", "clareza", "coerencia", "diversidade", "completude"])})\\s*:\\s*(\\d([.,]\\d)?)', 2), lambda x: replace(x, ',', '.')::double) as scores from r)
 select id, round((scores[1] + scores[2] + scores[3] + scores[4] + scores[5]) / 5, 2) as avg_score from s where len(scores) >= 5 and (scores[1] + scores[2] + scores[3] + scores[4] + scores[5]) / 5 > 4.0""")
 def judge_scores(spark, sf_dir):
     i = F.col("id")
@@ -296,68 +318,247 @@ def vector_math(spark, sf_dir):
     return ranked.join(after, "position").select("vec_id", F.round(X.norm("embedding"), 6).alias("size"), F.round(X.cosine("embedding", "after"), 6).alias("next_cosine"))
 
 
-@query()
+_ACCEPTS = "case j when 0 then r.s >= 0.2 when 1 then r.s between -0.05 and 0.15 else r.s <= 0.25 end"
+_SHARED = lambda a, b: f"(j <> 1 or len(list_intersect({a}, {b})) >= 2)"
+
+
+def _groups(where: str = "true") -> str:
+    """Candidates by rank, the first two that fit, and a walk over the groups that marks pairs as used."""
+    return f"""
+facts as (select e.vec_id as seq, label::varchar as doc, text, list_transform(embedding, lambda x: x::double) as v, list_distinct(list_transform(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\\s+'), lambda x: x <> ''), lambda x: hash(x))) as words from embeddings e left join documents d on d.doc_id = e.vec_id where {where}),
+sims as (select a.seq as seed, b.seq as cand, b.doc, b.words, round(list_cosine_similarity(a.v, b.v), 12) as s from facts a cross join facts b),
+ranked as (select *, row_number() over (partition by seed order by s desc, cand) as rank from sims qualify rank <= 201),
+two as (select seed, j, arg_min(cand, rank) as c2, min(rank) as r2, arg_min(s, rank) as s2 from ranked r join facts f on f.seq = seed, (select unnest([0, 1, 2]) as j)
+  where cand <> seed and {_ACCEPTS} and r.doc <> f.doc and {_SHARED("r.words", "f.words")} group by all),
+three as (select t.seed, t.j, c2, s2, arg_min(cand, rank) as c3, arg_min(s, rank) as s3 from two t join ranked r on r.seed = t.seed and rank > r2 join facts f on f.seq = t.seed join facts g on g.seq = c2
+  where cand <> t.seed and {_ACCEPTS} and r.doc <> f.doc and r.doc <> g.doc and {_SHARED("r.words", "f.words")} and {_SHARED("r.words", "g.words")} group by all),
+whole as (select seed, j, [seed, c2, c3] as m, [1, s2, s3] as s, row_number() over (order by seed, j) as n from three),
+paired as (select *, list_transform([[m[1], m[2]], [m[1], m[3]], [m[2], m[3]]], lambda p: least(p[1], p[2]) || '|' || greatest(p[1], p[2])) as pairs from whole),
+walk as (select 0::bigint as n, []::varchar[] as used, false as ok union all select p.n, case when list_has_any(used, pairs) then used else used || pairs end, not list_has_any(used, pairs) from walk w join paired p on p.n = w.n + 1),
+groups as (select seed, j as job_index, m, round((s[2] + s[3]) / 2, 4) as chunk_group_similarity from paired join walk using (n) where ok)"""
+
+
+@query(f"""with recursive {_groups()} select seed, job_index, array_to_string(m, ',') as ids, chunk_group_similarity, array_to_string(list_sort(list_transform(m, lambda x: x::varchar)), '|') as group_key from groups""")
 def similarity_groups(spark, sf_dir):
     rows = S.similarity_groups(fixtures.vectors(spark, sf_dir), JOBS, constraint="different", min_docs=2)
     return rows.select("seed", "job_index", F.array_join("sample_id", ",").alias("ids"), "chunk_group_similarity", "group_key")
 
 
-@query()
+@query(f"""with {_UNIT}, k1 as (select label, list_reduce(list(list_value({{'id': vec_id, 'v': v}}) order by vec_id), lambda acc, x: case when len(list_filter(acc, lambda y: list_cosine_similarity(y.v, x[1].v) > 0.25)) > 0 then acc else acc || x end) as old from unit where vec_id % 2 = 0 group by label),
+n as (select label, list(list_value({{'id': vec_id, 'v': v}}) order by vec_id) as new from unit where vec_id % 2 = 1 group by label),
+k2 as (select label, list_reduce(list_concat([coalesce(old, [])], new), lambda acc, x: case when len(list_filter(acc, lambda y: list_cosine_similarity(y.v, x[1].v) > 0.25)) > 0 then acc else acc || x end) as rows from n left join k1 using (label))
+select r.id as id from (select unnest(rows) as r from k2) where r.id % 2 = 1""")
 def retry_embed_filter(spark, sf_dir):
     rows = fixtures.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", F.array(F.col("label").cast("string")).alias("sample_id"))
     old = filters.embed_filter(rows.where("id % 2 = 0"), 0.25)
     return filters.embed_filter_against(rows.where("id % 2 = 1"), old, 0.25).select("id")
 
 
-@query()
+def _hashed(table: str, id_: str, text: str) -> str:
+    """The hashing embedder with 64 dimensions: by text, its non-zero components before they are scaled."""
+    return f"""(select {id_}, d, sum(sign)::double as c from (select {id_}, ('0x' || substr(md5(w), 15, 2))::integer % 64 as d, case when substr(md5(w), 1, 1) >= '8' then 1 else -1 end as sign
+  from (select {id_}, unnest(list_filter(regexp_split_to_array(lower({text}), '\\s+'), lambda x: x <> '')) as w from {table})) group by all having sum(sign) <> 0)"""
+
+
+@query(f"""with {_CHUNKS}, e as {_hashed("chunks", "hf_row_id", "text")}, n as (select hf_row_id, count_if(c > 0) as up, count_if(c < 0) as down from e group by all)
+select hf_row_id, document_id, chunk_index::integer as chunk_index, 64 as dims, coalesce(up, 0)::integer as n_positive, coalesce(down, 0)::integer as n_negative from chunks left join n using (hf_row_id) where trim(text) <> ''""")
 def chunk_store(spark, sf_dir):
     rows = store.prepare(fixtures.chunks(spark, sf_dir), id_field="hf_row_id", order="seq").withColumn("embedding", embed(HashEmbedder(64), F.col("text")))
-    return rows.select("hf_row_id", "document_id", "chunk_index", F.size("embedding").alias("dims"))
+    side = lambda f: F.size(F.filter("embedding", f))
+    return rows.select("hf_row_id", "document_id", "chunk_index", F.size("embedding").alias("dims"), side(lambda x: x > 0).alias("n_positive"), side(lambda x: x < 0).alias("n_negative"))
+
+
+# --- Model phases, with a scripted model whose answers hold a digest of the prompt ------------------------------------------
+
+
+def _text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _filled(template: str, **values: str) -> str:
+    """SQL of a template with {name} replaced by SQL."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return " || ".join(_text(x) if i % 2 == 0 else f"coalesce({values[x]}, '')" for i, x in enumerate(parts) if x)
+
 
+def _key(prompt: str, system: str = "") -> str:
+    return f"left(sha256({_text(system + chr(10))} || {prompt}), 40)"
 
-# --- Model phases, with a scripted model -----------------------------------------------------------------------------------
 
+def _chosen(table: dict[str, str], name: str) -> str:
+    return f"case {name} {' '.join(f'when {_text(k)} then {_text(v)}' for k, v in table.items())} else '' end"
 
-@query()
+
+_DOC = lambda name, text: f"'<documento nome=\"' || {name} || '\">' || chr(10) || {text} || chr(10) || '</documento>'"
+_SUMMARY = "coalesce('Sumário do documento:' || chr(10) || nullif(trim(summary), '') || chr(10) || chr(10), '')"
+_ASKED = lambda key: f"'O que diz a passagem ' || {key} || '?'"
+_TOLD = lambda key: f"'A passagem ' || {key} || ' trata de ' || reverse({key}) || '.'"
+
+
+def _tasks(styles, rows: str = "kept") -> str:
+    """Chunks once a style, with their document's summary."""
+    listed = "[" + ", ".join(map(_text, styles)) + "]"
+    return f"""summaries as (select document_id, text as summary from chunks where chunk_index = 0),
+tasks as (select k.*, summary, {_DOC("document_name", "prompt_text")} as docs, {_SUMMARY} as head, question_style, style_index from {rows} k left join summaries using (document_id), (select unnest({listed}) as question_style, generate_subscripts({listed}, 1) as style_index))"""
+
+
+def _styled(styles) -> str:
+    prompt = _filled(P.STYLED, style=_chosen(P.STYLES, "question_style"), summary="head", documents="docs")
+    return f"""{_CHUNKS}, {_tasks(styles)}, keyed as (select *, {_key(prompt)} as k from tasks),
+qas as (select row_number() over (order by seq, style_index) - 1 as id, hf_row_id, question_style, document_id, docs, head, {_ASKED("k")} as question, {_TOLD("k")} as answer from keyed)"""
+
+
+_ANY = f"{_CHUNKS}, every as (select * from valid where length(prompt_text) >= 800)"
+
+
+@query(f"""with {_ANY}, keyed as (select *, {_key(_filled(P.PAIRS, documents=_DOC("document_name", "prompt_text")))} as k from every)
+select row_number() over (order by seq) - 1 as id, hf_row_id as ids, {_ASKED("k")} as question, {_TOLD("k")} as answer, '0' as question_style from keyed""")
 def gen_pairs(spark, sf_dir):
-    return generate.qa_pairs(fixtures.chunks(spark, sf_dir), CLIENT, CFG).select("id", "sample_id", "question", "answer", "question_style")
+    return generate.qa_pairs(fixtures.chunks(spark, sf_dir), CLIENT, CFG).select("id", F.array_join("sample_id", ",").alias("ids"), "question", "answer", "question_style")
 
 
-@query()
+@query(f"with {_styled(STYLES)} select id, hf_row_id as ids, question, answer, question_style, document_id from qas")
 def gen_styled(spark, sf_dir):
-    return generate.qa_styled(fixtures.chunks(spark, sf_dir), CLIENT, STYLES, CFG).select("id", "sample_id", "question", "answer", "question_style", "document_id")
+    return generate.qa_styled(fixtures.chunks(spark, sf_dir), CLIENT, STYLES, CFG).select("id", F.array_join("sample_id", ",").alias("ids"), "question", "answer", "question_style", "document_id")
+
 
+@query(f"with {_styled(STYLES)} select id, hf_row_id as ids, question from qas where id < 50")
+def gen_limited(spark, sf_dir):
+    """The first 50 rows, as a run limited to so many gives them."""
+    return generate.qa_styled(fixtures.chunks(spark, sf_dir), CLIENT, STYLES, CFG, num_rows=50).select("id", F.array_join("sample_id", ",").alias("ids"), "question")
 
-@query()
+
+_WINDOWS = f"""{_CHUNKS}, w as (select document_id, row_number() over v - 1 as start, list({{'i': hf_row_id, 'd': {_DOC("document_name", "text")}}}) over (partition by document_id order by chunk_index rows between current row and 2 following) as m from chunks window v as (partition by document_id order by chunk_index)),
+windows as (select document_id, start, list_transform(m, lambda x: x.i) as ids, array_to_string(list_transform(m, lambda x: x.d), chr(10) || chr(10)) as docs from w where len(m) = 3)"""
+
+
+@query(f"""with {_WINDOWS}, t as (select *, unnest(['easy', 'medium', 'hard']) as question_style, generate_subscripts(['easy', 'medium', 'hard'], 1) as n from windows),
+keyed as (select *, {_key(_filled(P.LOCAL, style=_chosen(P.STYLES, "question_style"), summary="''", documents="docs"))} as k from t)
+select row_number() over (order by document_id, start, n) - 1 as id, array_to_string(ids, ',') as ids, {_ASKED("k")} as question, question_style, 3 as num_chunks from keyed""")
 def gen_local(spark, sf_dir):
-    return generate.qa_local(fixtures.chunks(spark, sf_dir), CLIENT, STYLES, n=3, stride=3).select("id", "sample_id", "question", "question_style", "num_chunks")
+    return generate.qa_local(fixtures.chunks(spark, sf_dir), CLIENT, STYLES, n=3).select("id", F.array_join("sample_id", ",").alias("ids"), "question", "question_style", "num_chunks")
 
 
-@query()
+@query(f"""with recursive {_groups("text is not null")}, t as (select *, unnest(['easy', 'medium', 'hard']) as question_style, generate_subscripts(['easy', 'medium', 'hard'], 1) as n from groups),
+d as (select t.seed, t.job_index, t.n, t.m, t.question_style, t.chunk_group_similarity, array_to_string(list_transform([a.seq, b.seq, c.seq], lambda x: {_DOC("case x when a.seq then a.doc when b.seq then b.doc else c.doc end", "case x when a.seq then a.text when b.seq then b.text else c.text end")}), chr(10) || chr(10)) as docs
+  from t join facts a on a.seq = m[1] join facts b on b.seq = m[2] join facts c on c.seq = m[3]),
+keyed as (select *, {_key("case when job_index < 2 then " + _filled(P.NEAR, style=_chosen(P.STYLES, "question_style"), summary="''", documents="docs") + " else " + _filled(P.FAR, style=_chosen(P.STYLES, "question_style"), summary="''", documents="docs") + " end")} as k from d)
+select row_number() over (order by seed, job_index, n) - 1 as id, array_to_string(m, ',') as ids, {_ASKED("k")} as question, ['above', 'range', 'below'][job_index + 1] as similarity_mode, chunk_group_similarity from keyed""")
 def gen_similar(spark, sf_dir):
-    return generate.qa_similar(fixtures.vectors(spark, sf_dir).where("text is not null"), CLIENT, JOBS, STYLES, constraint="different", min_docs=2).select("id", "sample_id", "question", "similarity_mode", "chunk_group_similarity")
+    rows = generate.qa_similar(fixtures.vectors(spark, sf_dir).where("text is not null"), CLIENT, JOBS, STYLES, constraint="different", min_docs=2)
+    return rows.select("id", F.array_join("sample_id", ",").alias("ids"), "question", "similarity_mode", "chunk_group_similarity")
+
+
+def _said(rows):
+    """The first two turns as columns."""
+    return rows.withColumn("request", F.get("messages", F.lit(0))["content"]).withColumn("reply", F.get("messages", F.lit(1))["content"])
 
 
-@query()
+@query(f"""with {_ANY}, {_tasks(P.REWRITES, "every")}, asked as (select *, 'Resuma ' || {_key(_filled(P.REWRITE_ASK, style=_chosen(P.REWRITES, "question_style"), documents="docs"))} as request from tasks)
+select row_number() over (order by seq, style_index) - 1 as id, hf_row_id as ids, question_style, request, 'Resumo ' || {_key(_filled(P.REWRITE_DO, request="request", documents="docs"))} as reply from asked""")
 def gen_rewrites(spark, sf_dir):
-    return generate.rewrites(fixtures.chunks(spark, sf_dir), CLIENT, cfg=CFG).select("id", "sample_id", "question_style", "messages")
+    return _said(generate.rewrites(fixtures.chunks(spark, sf_dir), CLIENT, cfg=CFG)).select("id", F.array_join("sample_id", ",").alias("ids"), "question_style", "request", "reply")
 
 
-@query()
+@query(f"""with {_CHUNKS}, {_tasks(("urgente", "informal"))}, asked as (select *, 'quando vale ' || {_key(_filled(P.PERSONA_ASK, style=_chosen(P.PERSONAS, "question_style"), summary="head", documents="docs"))} || '?' as request from tasks)
+select row_number() over (order by seq, style_index) - 1 as id, hf_row_id as ids, question_style, request, 'vale em ' || {_key(_filled(P.PERSONA_DO, request="request", summary="head", documents="docs"))} || '.' as reply from asked""")
 def gen_personas(spark, sf_dir):
-    return generate.personas(fixtures.chunks(spark, sf_dir), CLIENT, ("urgente", "informal"), CFG).select("id", "sample_id", "question_style", "messages")
+    return _said(generate.personas(fixtures.chunks(spark, sf_dir), CLIENT, ("urgente", "informal"), CFG)).select("id", F.array_join("sample_id", ",").alias("ids"), "question_style", "request", "reply")
 
 
-@query()
+@query(f"""with recursive {_groups("text is not null")}, {_WINDOWS}, every as (select * from valid where length(prompt_text) >= 800)
+select 'qa_gen' as phase, (select count(*) from every) * 3 as estimate union all select 'qa_gen_var', (select count(*) from kept) * 3 union all select 'rewrite_gen', (select count(*) from every) * 3
+union all select 'dog_instruct', (select count(*) from kept) * 2 union all select 'qa_local_multihop', (select count(*) from windows) * 3 union all select 'qa_similarity_multihop', (select count(*) from groups) * 3""")
+def estimate_generators(spark, sf_dir):
+    """What each generator would ask for, without asking."""
+    chunks = fixtures.chunks(spark, sf_dir)
+    similar = generate.similar_tasks(fixtures.vectors(spark, sf_dir).where("text is not null"), JOBS, STYLES, constraint="different", min_docs=2)
+    tasks = {
+        "qa_gen": (T.valid_chunks(chunks, CFG, "pairs"), 3), "qa_gen_var": (T.style_tasks(chunks, list(STYLES), CFG), 1), "rewrite_gen": (T.style_tasks(chunks, list(P.REWRITES), CFG, kind="rewrite"), 1),
+        "dog_instruct": (T.style_tasks(chunks, ["urgente", "informal"], CFG), 1), "qa_local_multihop": (T.with_styles(T.local_windows(chunks, 3, 1), list(STYLES)), 1), "qa_similarity_multihop": (similar, 1),
+    }
+    return reduce(lambda a, b: a.union(b), [generate.estimate(rows, n).select(F.lit(name).alias("phase"), "estimate") for name, (rows, n) in tasks.items()])
+
+
+@query(f"""with {_styled(("easy",))}, again as (select *, {_key(_filled(P.ANSWER, question="question", answer="answer", documents="docs"))} as k from qas)
+select id, id as input_id, question, 'Pergunta: ' || {_ASKED("k")} || ' Resposta: ' || {_TOLD("k")} as answer from again""")
 def edit_answers(spark, sf_dir):
     rows = generate.qa_styled(fixtures.chunks(spark, sf_dir), CLIENT, ("easy",), CFG)
     return edit.rewrite_answers(rows, CLIENT, number=True).select("id", "input_id", "question", "answer")
 
 
-@query()
+def _expanded(rows: str, styles, turns: int, previous: bool = False, last: str = "talk") -> str:
+    """Conversations grown by so many turns: ``u`` the user's turns, ``f`` the whole talk with roles, ``c`` its messages."""
+    names = "[" + ", ".join(map(_text, styles)) + "]"
+    before = f"coalesce({_text(P.DIVERSITY.partition('{')[0])} || (array_to_string(list_transform(list(question) over (partition by hf_row_id order by id rows between unbounded preceding and 1 preceding), lambda b: '- ' || b), chr(10))), '')" if previous else "''"
+    out = f"""talk0 as (select *, {before} as before, coalesce(list_position({names}, question_style), 0) as seed_, ['- ' || question] as u, ['Usuário: ' || question, 'Assistente: ' || answer] as f, [question, answer] as c from {rows})"""
+    for t in range(turns):
+        ask = _filled(P.USER_TURN, style=_chosen(P.STYLES, f"{names}[(seed_ + {t}) % {len(styles)} + 1]"), summary="head", documents="docs", history="array_to_string(u, chr(10))") + " || before"
+        said = f"'Como se explica ' || {_key(ask, P.USER_SYSTEM)} || ' diante do que foi dito antes?'"
+        told = f"'A explicação completa está em ' || {_key(_filled(P.ASSISTANT_TURN, documents='docs', history='array_to_string(f, chr(10))'), P.ASSISTANT_SYSTEM.format(refusal=X.REFUSAL))} || ', segundo o documento indicado.'"
+        out += f""",
+asked{t} as (select * exclude (said), u || ['- ' || said] as u_, f || ['Usuário: ' || said] as f_, c || [said] as c_ from (select *, {said} as said from talk{t})),
+told{t} as (select * exclude (u, f, c) rename (u_ as u, f_ as f, c_ as c) from asked{t}),
+talk{t + 1} as (select * exclude (told, f, c), f || ['Assistente: ' || told] as f, c || [told] as c from (select *, {told} as told from told{t}))"""
+    return f"{out}, {last} as (select * from talk{turns})"
+
+
+@query(f"with {_styled(('easy', 'medium'))}, {_expanded('qas', STYLES, 2, True)} select id, id as input_id, hf_row_id as ids, question_style, len(c)::integer as n_messages, md5(array_to_string(f, chr(10))) as digest from talk")
+def conv_expand_var(spark, sf_dir):
+    """Two more turns, in the styles after the row's own, told what its sample was asked before."""
+    rows = edit.expand(generate.qa_styled(fixtures.chunks(spark, sf_dir), CLIENT, ("easy", "medium"), CFG), CLIENT, STYLES, naive=False, turns=(2, 2), summaries=T.doc_summaries(fixtures.chunks(spark, sf_dir), CFG), number=True)
+    return rows.select("id", "input_id", F.array_join("sample_id", ",").alias("ids"), "question_style", F.size("messages").alias("n_messages"), F.md5(X.history("messages")).alias("digest"))
+
+
+@query(f"with {_styled(('easy',))}, {_expanded('qas', ('',), 3)} select id, hf_row_id as ids, len(c)::integer as n_messages, md5(array_to_string(f, chr(10))) as digest from talk")
+def conv_expand(spark, sf_dir):
+    """The form without styles, three more turns."""
+    rows = generate.qa_styled(fixtures.chunks(spark, sf_dir), CLIENT, ("easy",), CFG)
+    grown = edit.expand(rows, CLIENT, styled=False, summaries=T.doc_summaries(fixtures.chunks(spark, sf_dir), CFG), number=True)
+    return grown.select("id", F.array_join("sample_id", ",").alias("ids"), F.size("messages").alias("n_messages"), F.md5(X.history("messages")).alias("digest"))
+
+
+_RETRIED = """
+first as (select id, g as group_key, question_style, false as passed from qa), done0 as (select distinct g as group_key, question_style from qa where id % 3 = 0),
+open1 as (select distinct group_key, question_style from first except select * from done0),
+new1 as (select (select max(id) from first) + row_number() over (order by group_key, question_style) as id, * from open1), done1 as (select * from done0 union select group_key, question_style from new1 where id % 2 = 0),
+open2 as (select distinct group_key, question_style from first except select * from done1),
+new2 as (select (select max(id) from (select id from first union all select id from new1)) + row_number() over (order by group_key, question_style) as id, * from open2), done2 as (select * from done1 union select group_key, question_style from new2 where id % 2 = 0),
+every as (select id, group_key, question_style from first union all select id, group_key, question_style from new1 union all select id, group_key, question_style from new2),
+latest as (select group_key, question_style, max(id) as id from every group by all)"""
+
+
+@query(f"""with {_QA}, {_RETRIED} select e.id, e.group_key, e.question_style, case when l.id is null then null when d.group_key is null then 'failed' else 'passed' end as status
+from every e left join latest l on l.id = e.id left join done2 d on d.group_key = e.group_key and d.question_style = e.question_style""")
+def retry_loop(spark, sf_dir):
+    """Two attempts at the pairs that a chain lost; of the new rows those of even id pass."""
+    rows = fixtures.qa_rows(spark, sf_dir)
+
+    def again(pairs):
+        made = corpus.with_position(pairs, ["group_key", "question_style"]).withColumn("id", F.col("position")).drop("position")
+        return made.select("id", F.split("group_key", r"\|").alias("sample_id"), F.lit("again").alias("question"), F.lit("an answer").alias("answer"), "question_style")
+
+    output, _, _ = retry.retry_until(again, lambda new: new.where("id % 2 = 0"), lambda new, old: new, rows, rows.where("id % 3 = 0"), 2)
+    return output.select("id", "group_key", "question_style", "status")
+
+
+@query(f"""with {_styled(STYLES)},
+asked as (select hf_row_id, list(list_value({{'id': id, 'q': question}}) order by id) as rows from qas where length(trim(answer)) >= 10 group by all),
+chosen as (select unnest(list_reduce(rows, lambda acc, x: case when len(list_filter(acc, lambda y: levenshtein(y.q, x[1].q) <= 20)) > 0 then acc else acc || x end)) as r from asked),
+numbered as (select * exclude (id) rename (n as id) from (select q.*, row_number() over (order by q.hf_row_id, q.id) - 1 as n from qas q join chosen on r.id = q.id)),
+bare as (select * replace ('' as head) from numbered), {_expanded("bare", STYLES, 3, True)},
+passed as (select row_number() over (order by id) - 1 as id, hf_row_id, question_style, c, id as origin from talk where len(c) >= 4 and len(list_filter([1, 3, 5, 7], lambda i: len(list_filter([1, 3, 5, 7], lambda j: j < i and levenshtein(c[i], c[j]) <= 20)) > 0)) = 0
+  and len(list_filter(generate_series(1, len(c) - 1), lambda i: levenshtein({_ONE("c[i]")}, {_ONE("c[i + 1]")}) <= 20)) = 0 and len(list_filter([2, 4, 6, 8], lambda i: length(c[i]) < 10)) = 0),
+said as (select *, array_to_string(list_transform(c, lambda m, i: case when i % 2 = 1 then 'user: ' else 'assistant: ' end || m), chr(10)) as t from passed),
+e as {_hashed("said", "id", "t")}, size as (select id, sqrt(sum(c * c)) as s from e group by id),
+vectors as (select id, list(coalesce(c, 0) / s order by d) as v from (select size.id, s, unnest(range(64)) as d from size) left join e using (id, d) group by id),
+grouped as (select hf_row_id, list_reduce(list(list_value({{'id': id, 'v': v}}) order by id), lambda acc, x: case when len(list_filter(acc, lambda y: list_cosine_similarity(y.v, x[1].v) > 0.95)) > 0 then acc else acc || x end) as rows from said join vectors using (id) group by all),
+final as (select unnest(rows).id as id from grouped)
+select row_number() over (order by hf_row_id, said.id) - 1 as id, hf_row_id as ids, question_style, 4.5::double as avg_score, len(c)::integer as n_messages, md5(t) as digest from said join final using (id)""")
 def pipeline_end_to_end(spark, sf_dir):
-    """Generator, filter, expansion, filter, judge and dedup in one lazy chain."""
+    """Generator, filter, expansion, filter, judge and dedup. Each model call's rows are written before the next step reads them."""
     rows = generate.qa_styled(fixtures.chunks(spark, sf_dir), CLIENT, STYLES, CFG)
     talks = filters.conv_filter(edit.expand(filters.qa_filter(rows, number=True), CLIENT, STYLES, naive=False, number=True), number=True)
     scored = edit.judge(talks, CLIENT, number=True).withColumn("_v", embed(HashEmbedder(64), X.conversation_text("messages")))
-    return filters.embed_filter(scored, 0.95, "_v", number=True).select("id", "origin_id", "sample_id", "question_style", "avg_score", F.size("messages").alias("n_messages"))
+    kept = filters.embed_filter(scored, 0.95, "_v", number=True)
+    return kept.select("id", F.array_join("sample_id", ",").alias("ids"), "question_style", "avg_score", F.size("messages").alias("n_messages"), F.md5(X.conversation_text("messages")).alias("digest"))

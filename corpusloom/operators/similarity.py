@@ -1,7 +1,7 @@
 """Similar chunks: exact top-k by blocks, and disjoint-pair groups for multi-hop questions.
 
-Vectors are packed into blocks of bounded size; every block meets every block once, as matrix products, and gives each of its vectors'
-``k`` best there; the best of these are kept per seed. No pair of vectors is ever a row unless it is among a block's best.
+Vectors are packed into blocks of bounded size. A few blocks of seeds stay in one task, past which all blocks stream; matrix products update each
+seed's ``k`` best, so that k rows a seed leave the task, however many blocks there are. No other pair of vectors is ever a row.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as X
 from corpusloom.sources.tables import persisted
 
-BLOCK = 4096
+#: Vectors of a block, and blocks of seeds that stay in a task: every block is copied once for so many.
+BLOCK, SEEDS = 4096, 4
 #: Up to so many pairs of open groups are settled in one ordered pass; more are settled in parallel rounds until so few are left.
 ONE_PASS = 500_000
 
@@ -46,7 +47,38 @@ class Job:
         return self.mode == "range" and (-1.0 if self.least is None else self.least) <= sim <= (1.0 if self.most is None else self.most)
 
 
-def top_similar(store: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
+class Best:
+    """The ``k`` best (similarity, seq) of each of some seeds among the blocks seen so far; ties go to the lower seq."""
+
+    def __init__(self, seqs: np.ndarray, unit: np.ndarray, k: int):
+        self.seqs, self.unit, self.k = seqs, unit, k
+        self.sims, self.cands = np.full((len(seqs), k), -np.inf), np.full((len(seqs), k), np.iinfo(np.int64).max)
+
+    def meet(self, seqs: np.ndarray, unit: np.ndarray) -> None:
+        for s in range(0, len(self.seqs), 512):
+            at = slice(s, s + 512)
+            sims = np.concatenate((self.sims[at], np.round(self.unit[at] @ unit.T, 12)), axis=1)
+            cands = np.concatenate((self.cands[at], np.broadcast_to(seqs, (len(sims), len(seqs)))), axis=1)
+            least = np.partition(sims, sims.shape[1] - self.k, axis=1)[:, sims.shape[1] - self.k, None]
+            chosen = sims >= least
+            for r in np.flatnonzero(chosen.sum(1) > self.k).tolist():
+                level = np.flatnonzero(sims[r] == least[r])
+                room = self.k - int((sims[r] > least[r]).sum())
+                chosen[r, level[np.argsort(cands[r, level], kind="stable")[room:]]] = False
+            columns = np.nonzero(chosen)[1].reshape(-1, self.k)
+            self.sims[at], self.cands[at] = np.take_along_axis(sims, columns, 1), np.take_along_axis(cands, columns, 1)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for s in range(0, len(self.seqs), max(1, 200_000 // self.k)):
+            at = slice(s, s + max(1, 200_000 // self.k))
+            order = np.lexsort((self.cands[at], -self.sims[at]), axis=1)
+            sims, cands = np.take_along_axis(self.sims[at], order, 1), np.take_along_axis(self.cands[at], order, 1)
+            seeds, ranks = np.repeat(self.seqs[at], self.k).reshape(sims.shape), np.broadcast_to(np.arange(1, self.k + 1, dtype=np.int32), sims.shape)
+            real = sims > -np.inf
+            yield pa.RecordBatch.from_arrays([pa.array(seeds[real]), pa.array(cands[real]), pa.array(sims[real]), pa.array(ranks[real])], ["seed", "cand", "similarity", "rank"])
+
+
+def top_similar(store: DataFrame, k: int, block: int = BLOCK, seeds: int = SEEDS) -> DataFrame:
     """(seed, cand, similarity, rank) for each row's ``k`` most similar rows, itself among them; ties go to the lower ``seq``.
 
     ``seq`` is the store's order and unique. Zero and null vectors have similarity 0 with all.
@@ -65,25 +97,41 @@ def top_similar(store: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
         return pd.DataFrame({"block": [rows["block"].iloc[0]], "dim": [dim], "seqs": [rows["seq"].tolist()], "unit": [m.tobytes()]})
 
     packed = persisted(dealt.groupBy("block").applyInPandas(pack, "block long, dim int, seqs array<long>, unit binary"))
-    sides = packed.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other"), *[F.col(c).alias(f"{c}_a") for c in packed.columns])
-    met = sides.join(packed, F.col("other") == F.col("block"))
+    lots = -(-blocks // seeds)
+    copies = packed.select(F.explode(F.sequence(F.lit(0), F.lit(lots - 1))).alias("lot"), (F.floor(F.col("block") / seeds) != F.col("lot")).alias("other"), *packed.columns)
+    # A lot's own blocks come first, then the others stream past.
+    streams = copies.repartition(lots, "lot").sortWithinPartitions("lot", "other", "block")
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lot, own, now = None, [], None
+
+        def begin() -> Best:
+            width = max(u.shape[1] for _, u in own)
+            found = Best(np.concatenate([s for s, _ in own]), np.concatenate([np.pad(u, ((0, 0), (0, width - u.shape[1]))) for _, u in own]), k)
+            for seqs, unit in own:
+                found.meet(seqs, np.pad(unit, ((0, 0), (0, width - unit.shape[1]))))
+            return found
+
         for batch in batches:
             of = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             for i in range(batch.num_rows):
-                a, b = (np.frombuffer(of[u][i].as_buffer(), np.float64).reshape(-1, max(1, of[d][i].as_py())) for u, d in (("unit_a", "dim_a"), ("unit", "dim")))
-                ids_a, ids_b = of["seqs_a"][i].values.to_numpy(), of["seqs"][i].values.to_numpy()
-                for s in range(0, len(ids_a), 512):
-                    sims = np.round(a[s : s + 512] @ b.T, 12)
-                    # Seqs rise within a block, so a stable sort breaks ties by seq.
-                    keep = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-                    n = keep.shape[1]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids_a[s : s + 512], n)), pa.array(ids_b[keep].ravel()), pa.array(np.take_along_axis(sims, keep, 1).ravel())], ["seed", "cand", "similarity"])
-
-    found = met.mapInArrow(best, "seed long, cand long, similarity double")
-    rank = F.row_number().over(Window.partitionBy("seed").orderBy(F.col("similarity").desc(), "cand"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k)
+                if of["lot"][i].as_py() != lot:
+                    if lot is not None:
+                        yield from (now or begin()).rows()
+                    lot, own, now = of["lot"][i].as_py(), [], None
+                seqs = of["seqs"][i].values.to_numpy()
+                dim = of["dim"][i].as_py()
+                unit = np.frombuffer(of["unit"][i].as_buffer(), np.float64).reshape(len(seqs), dim)
+                if not of["other"][i].as_py():
+                    own.append((seqs.copy(), unit.copy()))
+                    continue
+                now = now or begin()
+                width = now.unit.shape[1]
+                now.meet(seqs, unit if dim == width else np.pad(unit, ((0, 0), (0, max(0, width - dim))))[:, :width])
+        if lot is not None:
+            yield from (now or begin()).rows()
+
+    return streams.mapInArrow(best, "seed long, cand long, similarity double, rank int")
 
 
 def candidate_groups(store: DataFrame, jobs: list[Job], *, num_chunks: int = 3, constraint: str | None = None, min_docs: int = 1, max_candidates: int = 200) -> DataFrame:

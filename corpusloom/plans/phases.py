@@ -18,7 +18,6 @@ from corpusloom.operators.retry import keyed
 from corpusloom.operators.similarity import Job, used_pairs
 from corpusloom.schemas import REQUIRED, missing
 from corpusloom.sources import store as vectors
-from corpusloom.sources.corpus import renumbered
 
 
 class Role(Enum):
@@ -196,7 +195,7 @@ def _qa_filter(rows: DataFrame, ctx: Context) -> DataFrame:
     if ctx.survivors is None:
         return filters.qa_filter(rows, *limits, number=True)
     kept = filters.qa_filter_against(rows, ctx.survivors, *limits)
-    return renumbered(kept.withColumn("_key", X.group_key("sample_id")), ["_key", "id"]).drop("_key")
+    return filters._numbered(kept, X.group_key("sample_id"))
 
 
 def _expand(prefix: str, styled: bool):
@@ -213,7 +212,7 @@ def _embed_filter(rows: DataFrame, ctx: Context) -> DataFrame:
     if ctx.survivors is None:
         return filters.embed_filter(mark(rows), least, "_v", number=True).drop("_v")
     kept = filters.embed_filter_against(mark(rows), mark(ctx.survivors), least, "_v").drop("_v")
-    return renumbered(kept.withColumn("_key", X.group_key("sample_id")), ["_key", "id"]).drop("_key")
+    return filters._numbered(kept, X.group_key("sample_id"))
 
 
 _styled_tasks = lambda ctx: T.style_tasks(ctx.corpus, list(_styles(ctx)), ctx.corpus_config())

@@ -37,18 +37,26 @@ def required(name: str, kind: str | None = None) -> Column:
 def with_position(df: DataFrame, order: list[str]) -> DataFrame:
     """``position``: 0, 1, ... in the given order, without one task seeing all rows.
 
-    Ranges of the order are numbered on their own; the sizes of the ranges before are added. Rows that tie in ``order`` share a
-    range but fall as they may within it.
+    Only the order's values are numbered: ranges of them on their own, plus the sizes of the ranges before. That narrow table is written, which
+    runs ``df`` for its order columns; the rows get their numbers by a join and are moved once. Rows that tie in ``order`` are numbered as they fall.
     """
-    from corpusloom.sources.tables import persisted
+    from corpusloom.sources.tables import free_names, persisted
 
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = persisted(df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()))
-    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size")).select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    keys, (base, *mine) = [f"k{i}" for i in range(len(order))], free_names(df, "base", *[f"k{i}" for i in range(len(order))])
+    values = df.select(*[F.col(o).alias(k) for o, k in zip(order, keys, strict=True)]).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    ranged = persisted(values.repartitionByRange(n, *keys).withColumn("range", F.spark_partition_id()))
+    before = lambda w: F.coalesce(F.sum("rows").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # One row a range: as many as there are shuffle partitions.
-    return ranged.withColumn("_own", own).join(F.broadcast(sizes), "_range").withColumn("position", (F.col("_own") + F.col("_before") - 1).cast("long")).drop("_range", "_own", "_before")
+    sizes = ranged.groupBy("range").agg(F.sum("rows").alias("rows")).select("range", before(Window.partitionBy(F.lit(0)).orderBy("range")).alias("earlier"))
+    own = before(Window.partitionBy("range").orderBy(*keys))
+    numbers = ranged.withColumn("own", own).join(F.broadcast(sizes), "range").select(*[F.col(k).alias(m) for k, m in zip(keys, mine, strict=True)], (F.col("own") + F.col("earlier")).alias(base))
+    on = [F.col(o).eqNullSafe(F.col(m)) for o, m in zip(order, mine, strict=True)]
+    placed = df.drop("position").join(numbers, on if len(on) > 1 else on[0])
+    nth = F.lit(0)
+    if (ranged.agg(F.max("rows")).first()[0] or 0) > 1:
+        nth = F.row_number().over(Window.partitionBy(*mine).orderBy(F.lit(0))) - 1
+    return placed.withColumn("position", (F.col(base) + nth).cast("long")).drop(base, *mine)
 
 
 def renumbered(df: DataFrame, order: list[str]) -> DataFrame:

@@ -9,14 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only where that is unset, as in tests on one machine, a temporary folder."""
+    """``spark.checkpoint.dir``. Only a local master, whose driver and executors are one machine, may go without: it gets a temporary folder."""
     found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="corpusloom-")
         spark.sparkContext.setCheckpointDir(found)
     return found
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Each name with as many underscores before it as it takes to be no column of ``df``, in whatever case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while (name := f"_{name}").lower() in taken:
+            pass
+        out.append(name)
+    return out
+
+
 def persisted(df: DataFrame) -> DataFrame:
     """Written once as Parquet and read back: survives lost executors, and its readers share one computation."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
