@@ -303,7 +303,7 @@ def similar_topk(spark, sf_dir):
 
 
 @query(f"""with {_UNIT}, f as (select label, list({{'id': vec_id, 'v': v}} order by vec_id) as rows from unit group by label),
-k as (select unnest(list_reduce(list_transform(rows, lambda x: [x]), lambda acc, x: case when len(list_filter(acc, lambda y: list_cosine_similarity(y.v, x[1].v) > 0.25)) > 0 then acc else acc || x end)) as r from f) select r.id as id from k""")
+k as (select unnest(list_reduce(list_transform(rows, lambda x: [x]), lambda acc, x: case when len(list_filter(acc, lambda y: round(list_cosine_similarity(y.v, x[1].v), 6) > 0.25)) > 0 then acc else acc || x end)) as r from f) select r.id as id from k""")
 def embed_dedup(spark, sf_dir):
     """With a threshold of 0.25, as the synthetic vectors are farther apart than the default's 0.95."""
     rows = fixtures.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", F.array(F.col("label").cast("string")).alias("sample_id"))
@@ -344,9 +344,9 @@ def similarity_groups(spark, sf_dir):
     return rows.select("seed", "job_index", F.array_join("sample_id", ",").alias("ids"), "chunk_group_similarity", "group_key")
 
 
-@query(f"""with {_UNIT}, k1 as (select label, list_reduce(list(list_value({{'id': vec_id, 'v': v}}) order by vec_id), lambda acc, x: case when len(list_filter(acc, lambda y: list_cosine_similarity(y.v, x[1].v) > 0.25)) > 0 then acc else acc || x end) as old from unit where vec_id % 2 = 0 group by label),
+@query(f"""with {_UNIT}, k1 as (select label, list_reduce(list(list_value({{'id': vec_id, 'v': v}}) order by vec_id), lambda acc, x: case when len(list_filter(acc, lambda y: round(list_cosine_similarity(y.v, x[1].v), 6) > 0.25)) > 0 then acc else acc || x end) as old from unit where vec_id % 2 = 0 group by label),
 n as (select label, list(list_value({{'id': vec_id, 'v': v}}) order by vec_id) as new from unit where vec_id % 2 = 1 group by label),
-k2 as (select label, list_reduce(list_concat([coalesce(old, [])], new), lambda acc, x: case when len(list_filter(acc, lambda y: list_cosine_similarity(y.v, x[1].v) > 0.25)) > 0 then acc else acc || x end) as rows from n left join k1 using (label))
+k2 as (select label, list_reduce(list_concat([coalesce(old, [])], new), lambda acc, x: case when len(list_filter(acc, lambda y: round(list_cosine_similarity(y.v, x[1].v), 6) > 0.25)) > 0 then acc else acc || x end) as rows from n left join k1 using (label))
 select r.id as id from (select unnest(rows) as r from k2) where r.id % 2 = 1""")
 def retry_embed_filter(spark, sf_dir):
     rows = fixtures.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", F.array(F.col("label").cast("string")).alias("sample_id"))
@@ -552,7 +552,7 @@ passed as (select row_number() over (order by id) - 1 as id, hf_row_id, question
 said as (select *, array_to_string(list_transform(c, lambda m, i: case when i % 2 = 1 then 'user: ' else 'assistant: ' end || m), chr(10)) as t from passed),
 e as {_hashed("said", "id", "t")}, size as (select id, sqrt(sum(c * c)) as s from e group by id),
 vectors as (select id, list(coalesce(c, 0) / s order by d) as v from (select size.id, s, unnest(range(64)) as d from size) left join e using (id, d) group by id),
-grouped as (select hf_row_id, list_reduce(list(list_value({{'id': id, 'v': v}}) order by id), lambda acc, x: case when len(list_filter(acc, lambda y: list_cosine_similarity(y.v, x[1].v) > 0.95)) > 0 then acc else acc || x end) as rows from said join vectors using (id) group by all),
+grouped as (select hf_row_id, list_reduce(list(list_value({{'id': id, 'v': v}}) order by id), lambda acc, x: case when len(list_filter(acc, lambda y: round(list_cosine_similarity(y.v, x[1].v), 6) > 0.95)) > 0 then acc else acc || x end) as rows from said join vectors using (id) group by all),
 final as (select unnest(rows).id as id from grouped)
 select row_number() over (order by hf_row_id, said.id) - 1 as id, hf_row_id as ids, question_style, 4.5::double as avg_score, len(c)::integer as n_messages, md5(t) as digest from said join final using (id)""")
 def pipeline_end_to_end(spark, sf_dir):
