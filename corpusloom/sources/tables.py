@@ -29,8 +29,34 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+#: What this process wrote: (path, name of the catalog's table or none).
+_MADE: list[tuple[str, str | None]] = []
+
+
 def persisted(df: DataFrame) -> DataFrame:
     """Written once as Parquet and read back: survives lost executors, and its readers share one computation."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/corpusloom-{uuid.uuid4().hex}"
+    _MADE.append((path, None))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def persisted_by(df: DataFrame, column: str) -> DataFrame:
+    """As ``persisted``, in as many buckets of the column as there are shuffle partitions; the table has to stand in the catalog."""
+    spark, name = df.sparkSession, f"corpusloom_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}"
+    _MADE.append((path, name))
+    df.write.format("parquet").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def clear(spark: SparkSession) -> int:
+    """Removes the tables that this process wrote on the way; results that still read them must have been written. Returns how many."""
+    count = 0
+    while _MADE:
+        path, name = _MADE.pop()
+        if name:
+            spark.sql(f"drop table if exists {name}")
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        count += bool(where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True))
+    return count
