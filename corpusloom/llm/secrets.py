@@ -3,7 +3,8 @@
 Base kinds come from plain rules (assign, access, hex). Beyond them, base64 and hex candidates are decoded, and a span is
 reported only if what they hold parses: a signed token's header and payload as JSON objects (jwt), a private key whose
 nested lengths add up to the last byte (key: PEM armour around one; der: bare), an OpenSSH key's nested strings (ssh), or
-text that holds any of these itself, but not a bare hex run (encoded); text inside encoded text is followed ``DEPTH`` deep. Decoded
+text that holds any of these itself, but not a bare hex run (encoded); text inside encoded text is followed ``DEPTH`` deep. Candidates may be
+wrapped over lines, hex runs of odd length are read without their first or last digit, and keys encrypted by password count. Decoded
 text is UTF-8 with white space but no other control codes. PEM bodies may have real or escaped line breaks of any kind. Offsets are code points, ends exclusive; spans of different kinds may overlap.
 
 A null text counts as empty and has no spans; repeated rows are scanned one by one; an empty table stays empty; extra
@@ -34,11 +35,16 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
-_HEXES = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){16,}(?![0-9A-Fa-f])")
+_HEXES = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{32,}(?![0-9A-Fa-f])")
+_HEX_ONLY = re.compile(r"[0-9A-Fa-f]+")
+#: Lines of one candidate, all but the last of one length of 40 or more, as encoders wrap them.
+_WRAPPED = re.compile(r"(?<![^\s])[A-Za-z0-9+/_-]{40,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)+={0,2}(?![^\s])")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(.*?)-----END \1-----", re.S)
 #: Line breaks, also escaped once or more; codes that text doesn't have.
 _BREAK = re.compile(r"(?:\\+r)?\\+n|\\+r|\r\n?")
 _CONTROL = re.compile(r"[\0-\x08\x0e-\x1f\x7f-\x84\x86-\x9f]")
+#: The beginnings of the identifiers of encryption by password (PKCS #5 and #12).
+_PASSWORD = (b"\x2a\x86\x48\x86\xf7\x0d\x01\x05", b"\x2a\x86\x48\x86\xf7\x0d\x01\x0c\x01")
 _LONG, DEPTH = 20, 4
 
 
@@ -70,7 +76,7 @@ def _nested(raw: bytes, at: int, end: int, depth: int = 0) -> list[tuple[int, in
 
 
 def private_der(raw: bytes) -> bool:
-    """Whether the bytes are one private key: RSA's nine integers, an algorithm and its octets, or a curve's octets."""
+    """Whether the bytes are one private key: RSA's nine integers, an algorithm and its octets, a curve's octets, or one encrypted by password."""
     if len(raw) < 30 or raw[0] != 0x30:
         return False
     outer = _nested(raw, 0, len(raw))
@@ -78,6 +84,10 @@ def private_der(raw: bytes) -> bool:
         return False
     inner = _nested(raw, *outer[0][1:]) or []
     tags = [t for t, _, _ in inner]
+    if tags == [0x30, 0x04]:
+        # Encrypted: an algorithm that begins with its identifier, and whole blocks of octets.
+        algorithm, octets = _nested(raw, *inner[0][1:]) or [], inner[1][2] - inner[1][1]
+        return bool(algorithm) and algorithm[0][0] == 0x06 and raw[algorithm[0][1] : algorithm[0][2]].startswith(_PASSWORD) and octets >= 32 and octets % 8 == 0
     if not tags or tags[0] != 0x02 or raw[inner[0][1] : inner[0][2]] not in (b"\0", b"\1"):
         return False
     return len(tags) >= 9 and set(tags[:9]) == {0x02} or tags[1:3] == [0x30, 0x04] or tags[1:2] == [0x04]
@@ -149,6 +159,27 @@ def _kind(raw: bytes | None, depth: int) -> int | None:
     return None
 
 
+def _wrapped(text: str):
+    """(start, end, bytes) of base64 and hex that goes on over lines; lines are of one length but for the last."""
+    if "\n" not in text:
+        return
+    for m in _WRAPPED.finditer(text):
+        lines = m[0].split()
+        width = len(lines[0])
+        last = next((k for k, line in enumerate(lines) if len(line) != width), len(lines) - 1)
+        # What follows a shorter line, or comes with a longer one, is other text.
+        last -= len(lines[last].rstrip("=")) > width
+        if last < 1:
+            continue
+        taken, end = "".join(lines[: last + 1]), m.start()
+        for line in lines[: last + 1]:
+            end = text.index(line, end) + len(line)
+        if _HEX_ONLY.fullmatch(taken) and len(taken) % 2 == 0:
+            yield m.start(), end, bytes.fromhex(taken)
+        else:
+            yield m.start(), end, _unbase64(taken)
+
+
 def _pem_body(body: str) -> bytes:
     """What a PEM body encodes, its headers left out."""
     lines = "\n".join(line.strip() for line in _BREAK.sub("\n", body).split("\n")).strip()
@@ -160,6 +191,13 @@ def find(text: str | None, depth: int = 0) -> list[tuple[str, int, int]]:
     if not text:
         return []
     found = base_spans(text)
+    armoured = []
+    if "-----BEGIN " in text:
+        for m in _PEM.finditer(text):
+            raw = _pem_body(m[2])
+            if private_der(raw) or private_ssh(raw) or ("ENCRYPTED" in m[1] + m[2] and len(raw) >= 32):
+                armoured.append((m.start(), 4, m.end()))
+    found += armoured
     if max(map(len, text.split()), default=0) >= _LONG:
         for m in _TOKEN.finditer(text):
             if signed_token(m[1], m[2]):
@@ -168,13 +206,16 @@ def find(text: str | None, depth: int = 0) -> list[tuple[str, int, int]]:
             if (kind := _kind(_unbase64(m[0]), depth)) is not None:
                 found.append((m.start(), kind, m.end()))
         for m in _HEXES.finditer(text):
-            if (kind := _kind(bytes.fromhex(m[0]), depth)) is not None:
-                found.append((m.start(), kind, m.end()))
-    if "-----BEGIN " in text:
-        for m in _PEM.finditer(text):
-            raw = _pem_body(m[2])
-            if private_der(raw) or private_ssh(raw) or ("ENCRYPTED" in m[1] + m[2] and len(raw) >= 32):
-                found.append((m.start(), 4, m.end()))
+            # Of an odd run, either end may be no part of it.
+            for start, end in ((m.start(), m.end()),) if len(m[0]) % 2 == 0 else ((m.start(), m.end() - 1), (m.start() + 1, m.end())):
+                if (kind := _kind(bytes.fromhex(text[start:end]), depth)) is not None:
+                    found.append((start, kind, end))
+                    break
+        for start, end, raw in _wrapped(text):
+            # Armour reports its own body.
+            if not any(s <= start and end <= e for s, _, e in armoured) and (kind := _kind(raw, depth)) is not None:
+                # So does the whole for its lines.
+                found = [f for f in found if f[1] < 5 or f[0] < start or f[2] > end] + [(start, kind, end)]
     return [(KINDS[k], s, e) for s, k, e in sorted(set(found))]
 
 

@@ -90,3 +90,42 @@ def test_pem_line_breaks():
             text = pem.replace("\n", line_break)
             assert ("key", 5, 5 + len(text)) in secrets.find(f"k = '{text}'"), line_break
     assert "key" not in [k for k, _, _ in secrets.find(PEM.replace(b64(RSA)[:4], "AAAA").replace("\n", "\\n"))]
+
+
+PBES2 = bytes.fromhex("2a864886f70d01050d")
+LOCKED = der(0x30, der(0x30, der(6, PBES2) + der(0x30, der(5, b""))) + der(4, b"x" * 48))
+wrap = lambda s, n, nl="\n": nl.join(s[i : i + n] for i in range(0, len(s), n))
+
+
+def test_candidates_over_lines_odd_runs_and_encrypted_keys():
+    kinds = lambda t: [k for k, _, _ in secrets.find(t) if k not in secrets.BASE]
+    whole = f"some words {wrap(b64(RSA), 64)}\nand more words"
+    assert secrets.find(whole) == [("der", 11, 11 + len(wrap(b64(RSA), 64)))]
+    assert kinds(f"a\n  {wrap(RSA.hex().upper(), 76, chr(13) + chr(10) + '  ')}\nthe end") == ["der"]
+    text = "the first words of a longer text, then password=hunter22 and whatever else follows it here, over several lines"
+    assert kinds(wrap(b64(text.encode()), 76)) == ["encoded"]
+    # Ordinary long words one a line, and lines of unlike length, are no candidate.
+    assert kinds("\n".join("a" * n for n in (45, 44, 45))) == [] and kinds(f"{b64(RSA)[:64]}\n{b64(RSA)[64:100]}\n{b64(RSA)[100:]}") == []
+    for odd in ("a" + RSA.hex(), RSA.hex() + "b"):
+        assert kinds(f"x {odd} y") == ["der"]
+    assert kinds(f"x {b64(LOCKED)} y") == ["der"] and secrets.private_der(LOCKED)
+    assert not secrets.private_der(der(0x30, der(0x30, der(6, PBES2)) + der(4, b"x" * 47))) and not secrets.private_der(der(0x30, der(0x30, der(6, b"\x55\x04\x03")) + der(4, b"x" * 48)))
+
+
+def test_planted_structures_and_nothing_else():
+    """Texts put together at random: exactly the planted structures are reported, at their places."""
+    import random
+
+    rng = random.Random(6)
+    twice = b64(b64(b"password=hunter22").encode())
+    real = [(JWT, "jwt"), (PEM, "key"), (b64(RSA), "der"), (RSA.hex().upper(), "der"), (b64(SSH), "ssh"), (b64(b"api_key: abcdefgh\n"), "encoded"), (twice, "encoded"), (wrap(b64(SSH), 64), "ssh"), (b64(LOCKED), "der")]
+    fake = ["word", "un été", "x" * 50, b64(b"only some ordinary words here"), b64(RSA[:-2]), b64(RSA + b"\0"), "aaaaaaaaaaaa.bbbbbbbb.cccc", f"{url({'typ': 'JWT'})}.{url({'a': 1})}.sig", "-----BEGIN PRIVATE KEY-----\nAAAA\n-----END PRIVATE KEY-----", "0" * 33, b64(bytes(range(60)))]
+    for _ in range(200):
+        text, expected = "", []
+        for _ in range(rng.randint(1, 8)):
+            piece, kind = rng.choice(real) if rng.random() < 0.5 else (rng.choice(fake), None)
+            text += rng.choice(["so ", "and, ", "- "])
+            if kind:
+                expected.append((kind, len(text), len(text) + len(piece)))
+            text += piece + rng.choice([" then ", " | ", " ; "])
+        assert [s for s in secrets.find(text) if s[0] not in secrets.BASE] == expected
