@@ -2,42 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.sources.tables import free_names, persisted, persisted_by
+
 #: A word is a run of anything but space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 #: So many narrow rows may be broadcast.
 FEW = 100_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder for cut lineage: the cluster's ``spark.checkpoint.dir``. Only where that is unset (tests on one machine) a temporary folder is made."""
-    found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="corpusloom-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
 def stash(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back, so that lost executors cost no recomputation and several readers share one pass."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/stash-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return persisted(df)
 
 
 def stash_by(df: DataFrame, column: str) -> DataFrame:
     """As ``stash``, but dealt by the column into as many buckets as there are shuffle partitions, so that a join on it needn't shuffle this side again."""
-    spark = df.sparkSession
-    name = f"corpusloom_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").bucketBy(buckets, column).option("path", f"{shared_dir(spark).rstrip('/')}/{name}").saveAsTable(name)
-    return spark.table(name)
+    return persisted_by(df, column)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +48,14 @@ def bounded_sample(df: DataFrame, by: list[str], per_group: int, order: str, col
     return low.withColumn("n", F.row_number().over(w)).where(F.col("n") <= per_group).select("row.*")
 
 
+def row_of(df: DataFrame, *but: str) -> Column:
+    """All columns (but some) as one struct, beside which no column of an operator's own can clash."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in but])
+
+
 def few(df: DataFrame, bound: int = FEW) -> DataFrame:
     """Marked for broadcast if it is counted to have at most ``bound`` (narrow) rows. The table must be cheap to read twice."""
     return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
+
+
+__all__ = ["FEW", "WORD", "bounded_sample", "crc_mod", "few", "free_names", "row_of", "stash", "stash_by", "table"]

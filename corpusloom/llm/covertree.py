@@ -11,7 +11,7 @@ A meeting of two blocks gives no pairs but, for each vector, the weight of its l
 rows a vector. A label with all rows is as many blocks as it needs; a block's tree is at most ``BLOCK`` vectors in a task. Exact
 search in spread-out vectors has to compare many blocks of a label: the number of block pairs is the operator's cost at scale.
 
-Null labels, null or zero vectors and those with null or non-finite components link with nothing and keep their row; vectors of
+A null vec_id links like any other and names no component unless nothing else is in it. Null labels, null or zero vectors and those with null or non-finite components link with nothing and keep their row; vectors of
 different lengths never link; repeated rows of one vec_id are vectors of their own (they link if their cosine says so); an empty
 table gives an empty result; extra columns are not read.
 """
@@ -225,7 +225,7 @@ def embedding_duplicates(vectors: DataFrame, *, cosine: float = COSINE, pivots:
     able = rows.where("_usable").drop("_usable")
     # Copies collapse to one node; a node is named by its least vec_id, or by its hash where that id also names another.
     kinds = able.groupBy("label", "embedding").agg(F.min("vec_id").alias("_first"), F.count(F.lit(1)).alias("weight"))
-    kinds = stash(kinds.where(F.col("_first").isNotNull()).withColumn("node", F.xxhash64("label", "embedding")))
+    kinds = stash(kinds.withColumn("node", F.xxhash64("label", "embedding")))
     linked, forest = near_pairs(kinds, cosine=cosine, pivots=pivots, block=block)
     groups = components(forest)
     member = kinds.join(groups, "node", "left").withColumn("_group", F.coalesce("component", "node"))

@@ -4,7 +4,8 @@ For each language, a suffix automaton of a bounded sample of labelled text. A te
 phrases that occur in the sample; the language that needs the fewest phrases for the text's length wins. Every letter of the
 samples is a symbol of its own, in whatever script; letters that no sample has share one. The automata are sparse
 tables of transitions, so texts are parsed many stretches at a time: a text is cut into stretches of ``WIDTH`` symbols,
-each parsed from the root, and its phrases are summed, which covers whole texts of any length in even work.
+each parsed from the root, and its phrases are summed, which covers whole texts of any length in even work; a phrase that a
+cut falls into counts as two, for every language alike.
 
 Learned from ``PER_LANGUAGE`` labelled rows (lowest seeded hash of doc_id), up to ``SAMPLE`` symbols of each language; that
 bound is the only one. Null or letterless texts (also empty ones) get ``und`` with score 0, as do all if nothing could be
@@ -21,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bounded_sample, crc_mod, table
+from corpusloom.llm.common import bounded_sample, crc_mod, free_names, table
 
-PER_LANGUAGE, SAMPLE, WIDTH, UND = 48, 20_000, 256, "und"
+PER_LANGUAGE, SAMPLE, WIDTH, UND = 48, 20_000, 2048, "und"
 #: Texts are parsed in lots of about so many code points, which bounds a worker's memory.
 LOT = 2_000_000
 
@@ -182,8 +183,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
     verdict = F.arrow_udf(of, "struct<lang_pred:string,score:double>")(F.col("text"))
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.withColumn("_verdict", verdict).select(*keep, "_verdict.lang_pred", "_verdict.score")
+    keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
+    (name,) = free_names(docs, "verdict")
+    return docs.select(*keep, verdict.alias(name)).select(*keep, f"{name}.lang_pred", f"{name}.score")
 
 
 def op10_language(spark, sf_dir: str) -> DataFrame:

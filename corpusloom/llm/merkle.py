@@ -108,10 +108,11 @@ def with_next(docs: DataFrame, leaf_words: int = LEAF_WORDS) -> DataFrame:
 
 
 def op3_fingerprints(spark, sf_dir: str) -> DataFrame:
+    """Beside the likenesses, what the trees locate of the edit: how many paragraphs differ, and the first one as section.paragraph (empty if none)."""
     paired = with_next(table(spark, sf_dir, "documents")).withColumn("n_chars", F.length("text"))
     edited = paired.withColumn("edited", F.expr("concat(left(text, n_chars - n_chars div 4), left(start, cast(n_chars div 4 as int)))".replace("n_chars - n_chars div 4", "cast(n_chars - n_chars div 4 as int)")))
     trees = edited.withColumn("tree", tree(F.col("text"))).withColumn("edited_tree", tree(F.col("edited")))
-    found = trees.withColumn("leaves", leaves(F.col("tree")))
+    found = trees.withColumn("leaves", leaves(F.col("tree"))).withColumn("places", edits(F.col("tree"), F.col("edited_tree")))
     return found.select(
         "doc_id",
         F.col("n_chars").cast("long").alias("n_chars"),
@@ -120,4 +121,6 @@ def op3_fingerprints(spark, sf_dir: str) -> DataFrame:
         fingerprint(F.col("edited_tree")).alias("edited_fingerprint"),
         likeness(F.col("leaves"), leaves(F.col("edited_tree"))).alias("near_edited"),
         likeness(F.col("leaves"), F.col("next_leaves")).alias("near_next"),
+        F.size("places").alias("edited_places"),
+        F.concat_ws(".", F.get("places", F.lit(0))["section"], F.get("places", F.lit(0))["paragraph"]).alias("first_edit"),
     )

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import WORD, stash
+from corpusloom.llm.common import WORD, row_of, stash
 
 BLOCK_TOKENS, SHARD_TOKENS, WEIGHTS, CAP, SEED = 16, 500_000, (1, 2, 3), 3, "mix-1"
 
@@ -78,7 +78,11 @@ def mix(docs: DataFrame, *, block_tokens: int = BLOCK_TOKENS, shard_tokens: int
     ``carry`` names the columns to keep beside doc_id and source (all by default). The sizes are written once as a narrow table.
     """
     keep = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "passes", "extra") and (carry is None or c in (*carry, "doc_id", "source"))]
-    sized = docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")).withColumn("_order", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+    # What is carried stands in one column, so that none of its names can clash with those used here.
+    sized = docs.select(
+        row_of(docs.select(*[F.col(f"`{c}`") for c in keep])).alias("row"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("_order"), F.xxhash64("text").alias("_tie"),
+    )
     narrow = stash(sized.select("source", "size", "_order"))
     goal = targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     goal = goal.withColumn("shards", F.greatest(F.ceil(F.col("source_size") / shard_tokens), F.lit(1)))
@@ -88,14 +92,14 @@ def mix(docs: DataFrame, *, block_tokens: int = BLOCK_TOKENS, shard_tokens: int
     quotas = sainte_lague(shards, ["src"], "shard").select(
         F.col("src").alias("_src"), F.col("shard").alias("_shard"), F.ceil(F.col("_words") / block_tokens).alias("_blocks"), "quota"
     ).withColumn("quota", F.least(F.col("quota"), F.col("_blocks") * int(cap)))
-    end = F.sum("size").over(Window.partitionBy("src", "shard").orderBy("_order", "size").rowsBetween(Window.unboundedPreceding, 0))
-    dealt = place(sized.select(*keep, "size", "_order")).withColumn("_end", end).join(quotas, (F.col("src") == F.col("_src")) & (F.col("shard") == F.col("_shard")), "left")
+    end = F.sum("size").over(Window.partitionBy("src", "shard").orderBy("_order", "size", "_tie").rowsBetween(Window.unboundedPreceding, 0))
+    dealt = place(sized).withColumn("_end", end).join(quotas, (F.col("src") == F.col("_src")) & (F.col("shard") == F.col("_shard")), "left")
     reach = F.pmod(F.col("quota"), F.col("_blocks")) * block_tokens
     return (
         dealt.withColumn("passes", F.when(F.col("_blocks") > 0, F.floor(F.col("quota") / F.col("_blocks"))).otherwise(0).cast("long"))
         .withColumn("extra", F.when(F.col("_blocks") > 0, F.greatest(F.least(F.col("_end"), reach) - (F.col("_end") - F.col("size")), F.lit(0))).otherwise(0).cast("long"))
         .withColumn("taken", F.col("passes") * F.col("size") + F.col("extra"))
-        .select(*keep, "size", "source_size", "target", "taken", "passes", "extra")
+        .select("row.*", "size", "source_size", "target", "taken", "passes", "extra")
     )
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import stash, table
+from corpusloom.llm.common import row_of, stash, table
 from corpusloom.llm.components import components
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
@@ -159,8 +159,8 @@ def dedup(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     kept = named.select(F.col("_first._text").alias("_kept_text"), F.col("_first._both").alias("_kept_both"))
     # Copies are reduced ahead of the shuffle, which serves the join too.
     first = Window.partitionBy("_text", "_both").orderBy("_text")
-    single = docs.withColumns(marks).withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
-    return single.join(kept, (F.col("_text") == F.col("_kept_text")) & (F.col("_both") == F.col("_kept_both"))).drop("_text", "_both", "_nth", "_kept_text", "_kept_both")
+    single = docs.select(row_of(docs).alias("row"), *[c.alias(n) for n, c in marks.items()]).withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
+    return single.join(kept, (F.col("_text") == F.col("_kept_text")) & (F.col("_both") == F.col("_kept_both"))).select("row.*")
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
