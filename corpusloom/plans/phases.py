@@ -50,6 +50,8 @@ class Context:
     config: dict[str, Any] = field(default_factory=dict)
     num_rows: int = -1
     retry: DataFrame | None = None
+    #: Where a phase keeps model answers by prompt, so that a run that is repeated doesn't ask again; None keeps them for the run alone.
+    store: str | None = None
     #: Of an earlier run of the phase: a generator's rows, and what a greedy filter kept.
     done: DataFrame | None = None
     survivors: DataFrame | None = None
@@ -166,12 +168,12 @@ def _groups(ctx: Context) -> dict[str, Any]:
 
 
 def _similar(_, ctx: Context) -> DataFrame:
-    return generate.qa_similar(_store(ctx), ctx.client, jobs_of(ctx.config), _styles(ctx), summaries=_summaries(ctx), retry=ctx.retry, num_rows=ctx.num_rows, sampling=ctx.sampling("QA_SIMILARITY_MULTIHOP", Sampling(max_tokens=512)), **_groups(ctx))
+    return generate.qa_similar(_store(ctx), ctx.client, jobs_of(ctx.config), _styles(ctx), summaries=_summaries(ctx), retry=ctx.retry, num_rows=ctx.num_rows, store=ctx.store, sampling=ctx.sampling("QA_SIMILARITY_MULTIHOP", Sampling(max_tokens=512)), **_groups(ctx))
 
 
 def _local(_, ctx: Context) -> DataFrame:
     done = None if ctx.done is None else keyed(open_again(ctx.done))
-    return generate.qa_local(_store(ctx), ctx.client, _styles(ctx), n=ctx.get("QA_LOCAL_MULTIHOP_NUM_CHUNKS", 3), stride=ctx.get("QA_LOCAL_MULTIHOP_WINDOW_STRIDE", 1), summaries=_summaries(ctx), done=done, retry=ctx.retry, num_rows=ctx.num_rows, sampling=ctx.sampling("QA_LOCAL_MULTIHOP", Sampling(max_tokens=512)))
+    return generate.qa_local(_store(ctx), ctx.client, _styles(ctx), n=ctx.get("QA_LOCAL_MULTIHOP_NUM_CHUNKS", 3), stride=ctx.get("QA_LOCAL_MULTIHOP_WINDOW_STRIDE", 1), summaries=_summaries(ctx), done=done, retry=ctx.retry, num_rows=ctx.num_rows, store=ctx.store, sampling=ctx.sampling("QA_LOCAL_MULTIHOP", Sampling(max_tokens=512)))
 
 
 def open_again(output: DataFrame) -> DataFrame:
@@ -185,7 +187,7 @@ def _by_chunk(generator, *names: tuple[str, tuple], sampling: tuple[str, Samplin
     def run(_, ctx: Context) -> DataFrame:
         more = {"sampling": ctx.sampling(*sampling)} if sampling else {}
         done = None if ctx.done is None else open_again(ctx.done)
-        return generator(ctx.corpus, ctx.client, *[ctx.get(key, default) for key, default in names], cfg=ctx.corpus_config(), done=done, retry=ctx.retry, num_rows=ctx.num_rows, **more)
+        return generator(ctx.corpus, ctx.client, *[ctx.get(key, default) for key, default in names], cfg=ctx.corpus_config(), done=done, retry=ctx.retry, num_rows=ctx.num_rows, store=ctx.store, **more)
 
     return run
 
@@ -226,12 +228,12 @@ for _phase in (
     Phase("qa_similarity_multihop", Role.GENERATOR, (), _QA, _similar, (("near", P.NEAR), ("far", P.FAR)), 1, lambda c: generate.similar_tasks(_store(c), jobs_of(c.config), _styles(c), **_groups(c))),
     Phase("rewrite_gen", Role.GENERATOR, (), _TALK, _by_chunk(generate.rewrites, ("REWRITE_GEN_STYLES", tuple(P.REWRITES))), (("ask", P.REWRITE_ASK), ("do", P.REWRITE_DO)), 1, lambda c: T.style_tasks(c.corpus, list(c.get("REWRITE_GEN_STYLES", tuple(P.REWRITES))), c.corpus_config(), kind="rewrite")),
     Phase("dog_instruct", Role.GENERATOR, (), _TALK, _by_chunk(generate.personas, ("DOG_INSTRUCT_PERSONAS", _ALL_PERSONAS)), (("ask", P.PERSONA_ASK), ("do", P.PERSONA_DO)), 1, lambda c: T.style_tasks(c.corpus, list(c.get("DOG_INSTRUCT_PERSONAS", _ALL_PERSONAS)), c.corpus_config())),
-    Phase("answer_rewrite", Role.EDITOR, REQUIRED["qa"], _QA, lambda r, c: edit.rewrite_answers(r, c.client, number=True), (("answer", P.ANSWER),)),
+    Phase("answer_rewrite", Role.EDITOR, REQUIRED["qa"], _QA, lambda r, c: edit.rewrite_answers(r, c.client, store=c.store, number=True), (("answer", P.ANSWER),)),
     Phase("conv_expand", Role.EDITOR, REQUIRED["qa"], _TALK, _expand("CONV_EXPAND", False), (("user", P.USER_TURN), ("assistant", P.ASSISTANT_TURN))),
     Phase("conv_expand_var", Role.EDITOR, REQUIRED["styled_qa"], _TALK, _expand("CONV_EXPAND_VAR", True), (("user", P.USER_TURN), ("across", P.USER_TURN_ACROSS), ("assistant", P.ASSISTANT_TURN))),
     Phase("qa_filter", Role.FILTER, REQUIRED["qa"], _QA, _qa_filter),
     Phase("conv_filter", Role.FILTER, REQUIRED["conversation"], _TALK, lambda r, c: filters.conv_filter(r, c.get("CONV_FILTER_MIN_MESSAGES", 4), c.get("CONV_FILTER_MIN_ASSISTANT_LEN", 10), c.get("CONV_FILTER_LEVENSHTEIN_USER", 20), c.get("CONV_FILTER_LEVENSHTEIN_ADJACENT", 20), number=True)),
-    Phase("judge", Role.JUDGE, REQUIRED["conversation"], (*_TALK, "scores", "avg_score"), lambda r, c: edit.judge(r, c.client, sampling=c.sampling("JUDGE", Sampling(0.0, 0.9, 2048)), least=c.get("JUDGE_MIN_AVG_SCORE", 4.0), number=True), (("judge", P.JUDGE),)),
+    Phase("judge", Role.JUDGE, REQUIRED["conversation"], (*_TALK, "scores", "avg_score"), lambda r, c: edit.judge(r, c.client, store=c.store, sampling=c.sampling("JUDGE", Sampling(0.0, 0.9, 2048)), least=c.get("JUDGE_MIN_AVG_SCORE", 4.0), number=True), (("judge", P.JUDGE),)),
     Phase("embed_filter", Role.DEDUP, REQUIRED["conversation"], _TALK, _embed_filter),
 ):
     register(_phase)

@@ -1,7 +1,7 @@
 """Pipelines from YAML: a chain of phases, or several generators sharing a tail, with dry runs and prompt dumps.
 
 Phases are lazy DataFrame transforms. A phase's rows are written where its ``output`` says, and the next reads them there, so that
-model calls are never repeated by later actions.
+model calls are never repeated by later actions, and each phase's answers are kept beside its output for runs that are repeated. Retries ask anew.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import filters, retry
 from corpusloom.plans.phases import Context, Phase, Role, get_phase
-from corpusloom.sources.corpus import has_path, merge_runs
+from corpusloom.sources.corpus import has_path, mapped, merge_runs
 from corpusloom.sources.tables import persisted
 
 #: Settings that a run must have.
@@ -105,6 +105,7 @@ def run_steps(steps: tuple[Step, ...], ctx: Context, folder: str = "", *, start_
     for k in range(first, last + 1):
         own = replace(ctx, config={**(env or {}), **ctx.config, **steps[k].config})
         path = output if output and k == last else at(k)
+        own = replace(own, store=f"{path}.answers")
         if resume:
             _add(phases[k], rows, own, path)
         else:
@@ -163,9 +164,16 @@ def run_retries(steps: tuple[Step, ...], ctx: Context, folder: str, attempts: in
     return ctx.spark.read.parquet(f"{at(len(steps) - 1)}.retried"), rounds
 
 
+def ready(plan: Plan, ctx: Context) -> Context:
+    """The context with its settings checked and its corpus's columns named as they say."""
+    settings = {**plan.env, **ctx.config}
+    check_settings(settings)
+    return ctx if ctx.corpus is None else replace(ctx, corpus=mapped(ctx.corpus, settings))
+
+
 def run(plan: Plan, ctx: Context, folder: str = "", **options) -> dict[str, tuple[DataFrame, list[str]]]:
     """All of a plan: by run (or "" for a single chain) its last rows and empty steps."""
-    check_settings({**plan.env, **ctx.config})
+    ctx = ready(plan, ctx)
     if not plan.runs:
         result = run_steps(plan.steps, ctx, folder, env=plan.env, **options)
         if plan.retries:
@@ -191,6 +199,7 @@ def merged(results: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
 
 def dry_run(plan: Plan, ctx: Context) -> dict[str, int | None]:
     """What each generator would ask for; nothing is asked or written."""
+    ctx = ready(plan, ctx)
     chains = [((step, *plan.tail), {**plan.env, **(plan.preprocess.config if plan.preprocess else {})}) for step, _ in plan.runs] or [(plan.steps, plan.env)]
     out = {}
     for steps, env in chains:

@@ -28,6 +28,42 @@ def check_fields(df: DataFrame, fields: list[str]) -> DataFrame:
     return df
 
 
+#: The settings that name a corpus's columns, what they are called here, and their defaults.
+FIELDS = {"DATASET_ID_FIELD": ("hf_row_id", "id"), "DATASET_TEXT_FIELD": ("text", "text"), "DATASET_DOC_ID_FIELD": ("document_id", "document_id"), "DATASET_DOC_NAME_FIELD": ("document_name", "document_name")}
+
+
+def mapped(corpus: DataFrame, settings: dict) -> DataFrame:
+    """The corpus with the columns that settings name under the engine's names; a column of that name already serves where none is set.
+
+    Text, id and document name must be there and not null in the first row. Without a document a chunk is its own; without ``seq`` rows stand
+    as they are read, without ``chunk_index`` in that order within their document, and without a type all are content.
+    """
+    from corpusloom.sources.tables import persisted
+
+    found = {}
+    for key, (name, default) in FIELDS.items():
+        given = settings.get(key)
+        found[name] = given or (name if name in corpus.columns else default)
+    check_fields(corpus, [found[n] for n in ("hf_row_id", "text", "document_name")])
+    column = lambda n: F.col(f"`{found[n]}`")
+    doc = F.coalesce(column("document_id").cast("string"), column("hf_row_id").cast("string")) if found["document_id"] in corpus.columns else column("hf_row_id").cast("string")
+    own = {"hf_row_id": column("hf_row_id").cast("string"), "document_id": doc, "document_name": column("document_name").cast("string"), "text": column("text").cast("string")}
+    rows = corpus.select(*[F.col(f"`{c}`") for c in corpus.columns if c not in own], *[c.alias(n) for n, c in own.items()])
+    if "seq" not in rows.columns:
+        rows = persisted(rows.withColumn("seq", F.monotonically_increasing_id()))
+    if "chunk_index" not in rows.columns:
+        rows = rows.withColumn("chunk_index", F.row_number().over(Window.partitionBy("document_id").orderBy("seq")) - 1)
+    return rows if "chunk_type" in rows.columns else rows.withColumn("chunk_type", F.lit(None).cast("string"))
+
+
+def read_any(spark: SparkSession, path: str) -> DataFrame:
+    """A table by the ending of its path: .jsonl or .json as JSON lines, .csv with a header, anything else as Parquet."""
+    ending = path.rstrip("/").rsplit(".", 1)[-1].lower()
+    if ending in ("jsonl", "json"):
+        return spark.read.json(path)
+    return spark.read.csv(path, header=True, inferSchema=True) if ending == "csv" else spark.read.parquet(path)
+
+
 def required(name: str, kind: str | None = None) -> Column:
     """The column; a null raises when the row is read. ``kind`` casts strictly."""
     value = F.coalesce(F.col(name), F.raise_error(F.lit(f"a row has no {name}")).cast("string"))

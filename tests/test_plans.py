@@ -41,7 +41,7 @@ CLIENT = ScriptedClient((
 @pytest.fixture
 def ctx(spark, rows):
     chunks = rows(CHUNK, *[(str(i), "d" if i < 3 else "e", "N", i, "content", f"content number {i} about topic {i * 7}", i) for i in range(5)])
-    return Context(spark, CLIENT, HashEmbedder(32), chunks)
+    return Context(spark, CLIENT, HashEmbedder(256), chunks)
 
 
 def test_registry():
@@ -152,3 +152,45 @@ def test_cli(capsys, tmp_path):
     (tmp_path / "p.yaml").write_text(SINGLE)
     assert cli.main(["--pipeline", str(tmp_path / "p.yaml"), "--dump-prompts", str(tmp_path / "out.txt")]) == 0
     assert "qa_gen_var" in (tmp_path / "out.txt").read_text()
+
+
+def test_column_mapping(rows):
+    from corpusloom.sources.corpus import mapped
+
+    df = rows("key string, body string, title string, doc_key long, id string", *[(f"k{i}", f"text {i}", "T", i // 2, "other") for i in range(4)])
+    settings = {"DATASET_ID_FIELD": "key", "DATASET_TEXT_FIELD": "body", "DATASET_DOC_ID_FIELD": "doc_key", "DATASET_DOC_NAME_FIELD": "title"}
+    found = sorted((r["hf_row_id"], r["text"], r["document_name"], r["document_id"], r["chunk_index"], r["chunk_type"]) for r in mapped(df, settings).collect())
+    assert found == [(f"k{i}", f"text {i}", "T", str(i // 2), i % 2, None) for i in range(4)]
+    own = {r["hf_row_id"]: r["document_id"] for r in mapped(df.drop("doc_key"), {**settings, "DATASET_DOC_ID_FIELD": None}).collect()}
+    assert own == {f"k{i}": f"k{i}" for i in range(4)}
+    for broken in (df.drop("title"), df.limit(0), df.withColumn("body", F.lit(None).cast("string"))):
+        with pytest.raises(ValueError):
+            mapped(broken, settings)
+
+
+def test_command_line_edges(spark, rows, tmp_path):
+    from corpusloom.models import HttpClient, TransformerEmbedder
+    from corpusloom.sources import corpus
+
+    with pytest.raises(SystemExit):
+        cli.client_of({})
+    assert isinstance(cli.client_of({}, True), ScriptedClient) and cli.client_of({"VLLM_BASE_URL": "http://h/v1", "VLLM_API_KEY": "k"}) == HttpClient("http://h/v1", "k")
+    assert isinstance(cli.embedder_of({}), HashEmbedder) and cli.embedder_of({"EMBED_MODEL": "/models/m"}) == TransformerEmbedder("/models/m")
+    for k in range(2):
+        corpus.write_rows(rows("id long, question string", *[(i, f"q{k}{i}") for i in range(3)]), f"{tmp_path}/run{k}.jsonl")
+    assert cli.merge([f"{tmp_path}/run0.jsonl", f"{tmp_path}/absent.jsonl", f"{tmp_path}/run1.jsonl"], f"{tmp_path}/all.jsonl") == 0
+    assert sorted((r["id"], r["question"]) for r in corpus.read_any(spark, f"{tmp_path}/all.jsonl").collect()) == [(3 * k + i, f"q{k}{i}") for k in range(2) for i in range(3)]
+    assert cli.merge([f"{tmp_path}/absent.jsonl"], f"{tmp_path}/none") == 1
+
+
+def test_repeated_runs_ask_nothing(ctx, tmp_path):
+    """Each phase's answers stay beside its output: the second run finds them, and a model that fails gives the same rows."""
+    from dataclasses import replace
+
+    from corpusloom.models import ScriptedClient as Scripted
+
+    steps = pipeline.parse(SINGLE).steps[:2]
+    first, _ = pipeline.run_steps(steps, ctx, str(tmp_path), env={"DATASET_MIN_CHARS": "5"})
+    before = sorted((r["id"], r["question"]) for r in first.collect())
+    again, _ = pipeline.run_steps(steps, replace(ctx, client=Scripted((("", None),))), str(tmp_path), env={"DATASET_MIN_CHARS": "5"})
+    assert len(before) > 0 and sorted((r["id"], r["question"]) for r in again.collect()) == before
