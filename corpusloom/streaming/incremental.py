@@ -22,14 +22,21 @@ def run_stateless(source: DataFrame, transform: Callable[[DataFrame], DataFrame]
     query.awaitTermination()
 
 
-def run_qa_filter(source: DataFrame, output: str, checkpoint: str, min_answer: int = 10, distance: int = 20) -> None:
+def _run_greedy(source: DataFrame, output: str, checkpoint: str, first: Callable[[DataFrame], DataFrame], against: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
     """New rows are compared with those kept before in their sample, which come first. A batch writes its own folder, so a batch that is run again replaces what it wrote."""
     def batch(rows: DataFrame, number: int) -> None:
         spark = rows.sparkSession
-        if has_path(spark, output):
-            kept = filters.qa_filter_against(rows, spark.read.parquet(output).where(F.col("batch") < number).drop("batch"), min_answer, distance)
-        else:
-            kept = filters.qa_filter(rows, min_answer, distance)
+        old = spark.read.parquet(output).where(F.col("batch") < number).drop("batch") if has_path(spark, output) else None
+        kept = first(rows) if old is None else against(rows, old)
         kept.write.mode("overwrite").parquet(f"{output}/batch={number}")
 
     source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def run_qa_filter(source: DataFrame, output: str, checkpoint: str, min_answer: int = 10, distance: int = 20) -> None:
+    _run_greedy(source, output, checkpoint, lambda rows: filters.qa_filter(rows, min_answer, distance), lambda rows, old: filters.qa_filter_against(rows, old, min_answer, distance))
+
+
+def run_embed_filter(source: DataFrame, output: str, checkpoint: str, threshold: float = 0.95, vector: str = "embedding") -> None:
+    """Rows carry their vectors, which are kept with them."""
+    _run_greedy(source, output, checkpoint, lambda rows: filters.embed_filter(rows, threshold, vector), lambda rows, old: filters.embed_filter_against(rows, old, threshold, vector))
