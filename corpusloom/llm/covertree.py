@@ -1,15 +1,19 @@
 """Embedding near-duplicates by dual traversal of cover trees.
 
 Links: equal, non-null labels and a cosine of at least ``COSINE`` in double precision, which for unit vectors is a distance of at
-most sqrt(2 - 2 cosine). Vectors equal in every component are collapsed to one with a count first. The rest is dealt, within each
-label, to cells by nearest of a bounded sample of pivots (the tree's top level), a large cell into several blocks by hash. Each
-block becomes a cover tree of nested levels with halving radii; each node knows the true radius that covers its descendants.
-Two blocks meet only if their centres lie within the linking distance plus both radii; then their trees are traversed
-together, and a pair of nodes goes down only if its centres do. Exact cosines decide at the leaves.
+most sqrt(2 - 2 cosine). Vectors equal in every component are collapsed to one with a count first.
+
+The upper levels of a label's tree are tables: a cell with more than ``block`` vectors is dealt to cells of its own by the nearest
+of ``pivots`` of its members, and so on, so the number of pivots grows with the label. No cell is gathered for that: its rows go to as
+many tasks as they need, each with the cell's pivots. A cell is a leaf once it fits a block, if all its vectors link anyway (its radius
+is at most half the linking distance), if it didn't get smaller, or after ``ROUNDS`` levels. Pairs of cells go down these levels
+together, one round a level, as far as their true covering radii allow. A leaf cell's blocks (one, but for the last three kinds) become
+cover trees of nested levels with halving radii, each built once; of blocks that meet, the trees are traversed together in the
+same way, and exact cosines decide at the leaves.
 
 A meeting of two blocks gives no pairs but, for each vector, the weight of its links and a spanning forest of them, at most a few
-rows a vector. A label with all rows is as many blocks as it needs; a block's tree is at most ``BLOCK`` vectors in a task. Exact
-search in spread-out vectors has to compare many blocks of a label: the number of block pairs is the operator's cost at scale.
+rows a vector. Cells in which all vectors link have no meetings with themselves or with such cells near enough that all pairs
+link: the cells' weights are the links. Exact search in spread-out vectors still has to compare many blocks of a label.
 
 A null vec_id links like any other and names no component unless nothing else is in it. Null labels, null or zero vectors and those with null or non-finite components link with nothing and keep their row; vectors of
 different lengths never link; repeated rows of one vec_id are vectors of their own (they link if their cosine says so); an empty
@@ -18,25 +22,31 @@ table gives an empty result; extra columns are not read.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import stash, table
+from corpusloom.llm.common import bounded_sample, few, stash, table
 from corpusloom.llm.components import components
 
 COSINE, PIVOTS, BLOCK, SLACK = 0.98, 16, 2048, 1e-9
+#: Levels of the tables of cells: 16 pivots each split 10^16 vectors; only lopsided cells get so far.
+ROUNDS = 12
+_ROW = 1 << 30
+_CELL = ["label", "dim", "path"]
 
 
 class Tree:
     """A cover tree over unit vectors: ``levels`` from the root down, each (centres, radii, first child, end of children); leaves are vectors."""
 
     def __init__(self, unit: np.ndarray, least: float):
-        self.order, self.levels = np.arange(len(unit)), []
+        self.levels = []
         parts, radius = [np.arange(len(unit))], 2.0
         sizes = [1]
         while True:
@@ -57,6 +67,17 @@ class Tree:
             parts = below
         self.leaves = parts
 
+    def packed(self) -> bytes:
+        ends = np.cumsum([len(p) for p in self.leaves])
+        return pickle.dumps((self.levels, np.concatenate(self.leaves), ends[:-1]))
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Tree:
+        tree = cls.__new__(cls)
+        tree.levels, members, cuts = pickle.loads(data)
+        tree.leaves = np.split(members, cuts)
+        return tree
+
 
 def _split(unit: np.ndarray, part: np.ndarray, radius: float) -> list[np.ndarray]:
     """Centres farther apart than the radius, each with the vectors it covers first; the part's own centre stays one (nesting)."""
@@ -101,11 +122,13 @@ def _pairs(x: np.ndarray, a: Tree, y: np.ndarray, b: Tree, reach: float) -> list
         depth += 1
 
 
-def meet(x: np.ndarray, wx: np.ndarray, y: np.ndarray, wy: np.ndarray, cosine: float, same: bool):
-    """Of two blocks of unit vectors with weights: link weights of each, and a forest of links as positions (y's after x's)."""
-    reach = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
-    a = Tree(x, reach / 2)
-    b = a if same else Tree(y, reach / 2)
+def reach_of(cosine: float) -> float:
+    """The distance of unit vectors of that cosine."""
+    return float(np.sqrt(max(0.0, 2 - 2 * cosine)))
+
+
+def meet(x: np.ndarray, wx: np.ndarray, a: Tree, y: np.ndarray, wy: np.ndarray, b: Tree, cosine: float, same: bool):
+    """Of two blocks of unit vectors with weights and trees: link weights of each, and a forest of links as positions (y's after x's)."""
     nx, ny = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
     parent: dict[int, int] = {}
     forest: list[tuple[int, int]] = []
@@ -116,7 +139,7 @@ def meet(x: np.ndarray, wx: np.ndarray, y: np.ndarray, wy: np.ndarray, cosine: f
             k = up
         return k
 
-    for i, j in zip(*(v.tolist() for v in _pairs(x, a, y, b, reach)), strict=True):
+    for i, j in zip(*(v.tolist() for v in _pairs(x, a, y, b, reach_of(cosine))), strict=True):
         if same and j < i:
             continue
         p, q = a.leaves[i], b.leaves[j]
@@ -153,60 +176,128 @@ def usable(column: str = "embedding"):
     return F.coalesce(F.col(column).isNotNull() & finite & F.exists(column, lambda x: x != 0), F.lit(False))
 
 
-def near_pairs(vectors: DataFrame, *, cosine: float = COSINE, pivots: int = PIVOTS, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """Of (node, label, embedding, weight) rows: (node, weight of linked others) and a forest of links (u, v)."""
-    spark = vectors.sparkSession
-    sample = vectors.orderBy(F.xxhash64("node", F.lit(5)), "node").limit(pivots).select("embedding").collect()
-    tops: dict[int, np.ndarray] = {}
-    for r in sample:
-        v = np.array(r[0], np.float64)
-        tops[len(v)] = np.vstack([*([tops[len(v)]] if len(v) in tops else []), v / np.sqrt((v * v).sum())])
-
-    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            rows["dim"] = rows["embedding"].map(len)
-            rows["cell"] = 0
-            for n, top in tops.items():
-                own = rows["dim"] == n
-                if own.any():
-                    rows.loc[own, "cell"] = (_unit(rows.loc[own, "embedding"]) @ top.T).argmax(1)
-            yield rows[["node", "label", "dim", "cell", "weight", "embedding"]]
-
+def _nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of rows sorted by cell, part and slot, a cell's pivots first: each vector with the cell of its nearest pivot and its distance from that."""
+    now, top, unit = None, [], None
+    for rows in batches:
+        keys = rows[[*_CELL, "part"]]
+        runs = (keys != keys.shift()).any(axis=1).cumsum()
+        for _, run in rows.groupby(runs, sort=False):
+            key = tuple(run[[*_CELL, "part"]].iloc[0])
+            if key != now:
+                now, top, unit = key, [], None
+            lead = run["slot"] < _ROW
+            if lead.any():
+                top.append(_unit(run.loc[lead, "embedding"]))
+            own = run[~lead].copy()
+            if not len(own):
+                continue
+            own["far"], slots = 2.0, np.zeros(len(own), int)
+            if top:
+                unit = np.concatenate(top) if unit is None else unit
+                mine = _unit(own["embedding"])
+                slots = (mine @ unit.T).argmax(1)
+                own["far"] = np.sqrt(((mine - unit[slots]) ** 2).sum(1))
+            own["parent"], own["path"] = own["path"], [f"{p}.{k}" for p, k in zip(own["path"], slots, strict=True)]
+            own["slot"] = slots
+            yield own[[*_CELL, "parent", "slot", "node", "weight", "embedding", "far"]]
+
+
+def cells(vectors: DataFrame, cosine: float, pivots: int, block: int) -> tuple[DataFrame, DataFrame, int]:
+    """Of (node, label, embedding, weight) rows: the same with the leaf cell they lie in; all cells of all levels; how many levels lie below the top."""
     kind = dict(vectors.dtypes)
-    schema = f"node {kind['node']}, label {kind['label']}, dim int, cell int, weight long, embedding {kind['embedding']}"
-    placed = stash(vectors.select("node", "label", "weight", "embedding").mapInPandas(cells, schema))
-    counts = placed.groupBy("label", "dim", "cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
-    split = placed.join(counts, ["label", "dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    reach = reach_of(cosine)
+    now = vectors.select("label", F.size("embedding").alias("dim"), F.lit("").alias("path"), "node", "weight", "embedding")
+    size, weight, least = F.count(F.lit(1)).alias("size"), F.sum("weight").alias("total"), F.min("node").alias("least")
+    tops = now.groupBy(*_CELL).agg(size, weight, least).withColumn("parent", F.lit(None).cast("string")).withColumn("centre", F.lit(None).cast("array<double>"))
+    level = stash(tops.withColumn("radius", F.lit(2.0)).withColumn("leaf", F.col("size") <= block))
+    settled, levels, depth = [], [level], 0
+    while depth < ROUNDS and level.where("not leaf").limit(1).count():
+        marks = few(level.select(*_CELL, "leaf", "size"))
+        placed = now.join(marks, _CELL)
+        settled.append(placed.where("leaf").select(now.columns))
+        # A large cell's rows are dealt to parts, and its pivots are sent to each.
+        parts = F.ceil(F.col("size") / (16 * block)).cast("int")
+        members = placed.where("not leaf")
+        chosen = bounded_sample(members, _CELL, pivots, "node", [*_CELL, "node", "embedding", "size"])
+        chosen = stash(chosen.withColumn("slot", F.row_number().over(Window.partitionBy(*_CELL).orderBy("node")) - 1))
+        leads = chosen.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("weight", F.lit(0).cast("long"))
+        own = members.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn("slot", F.lit(_ROW))
+        columns = [*_CELL, "part", "slot", "node", "weight", "embedding"]
+        dealt = leads.select(columns).union(own.select(columns)).repartition(*_CELL, "part").sortWithinPartitions(*columns[:6])
+        schema = f"label {kind['label']}, dim int, path string, parent string, slot int, node {kind['node']}, weight long, embedding {kind['embedding']}, far double"
+        below = stash(dealt.mapInPandas(_nearest, schema))
+        norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+        centres = chosen.select("label", "dim", F.concat_ws(".", "path", F.col("slot").cast("string")).alias("path"), F.transform("embedding", lambda x: x.cast("double") / norm).alias("centre"), F.col("size").alias("above"))
+        found = below.groupBy(*_CELL).agg(size, weight, least, F.min("parent").alias("parent"), F.max("far").alias("radius")).join(centres, _CELL, "left")
+        done = (F.col("size") <= block) | (2 * F.col("radius") <= reach - SLACK) | (F.col("size") >= F.coalesce("above", F.col("size")))
+        depth += 1
+        level = stash(found.withColumn("leaf", done if depth < ROUNDS else F.lit(True)).select(level.columns))
+        levels.append(level)
+        now = below.select(now.columns)
+    return reduce(DataFrame.union, [*settled, now]), reduce(DataFrame.union, levels), depth
+
+
+def _apart(a: str, b: str):
+    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, d: s + d))
+
+
+def cell_pairs(tree: DataFrame, depth: int, reach: float) -> DataFrame:
+    """(label, dim, one, two, whole): the pairs of leaf cells, a cell with itself included, that may hold links; ``whole`` if all their vectors link."""
+    # One step down: a leaf stays, any other cell goes to those below it.
+    side = ["path", "centre", "radius", "leaf"]
+    stays = tree.where("leaf").withColumn("at", F.col("path"))
+    step = stash(stays.union(tree.where("parent is not null").withColumn("at", F.col("parent"))).select("label", "dim", "at", *side))
+    top = tree.where("parent is null")
+    pairs = top.select("label", "dim", *[F.col(c).alias(f"{c}_{k}") for k in ("one", "two") for c in side])
+    for _ in range(depth):
+        # A lone cell is met with itself; of two that go down from one, each pair once.
+        down = pairs.where("not (leaf_one and leaf_two)").select("label", "dim", F.col("path_one").alias("a"), F.col("path_two").alias("b"))
+        for name, at in (("one", "a"), ("two", "b")):
+            down = down.join(step.select("label", "dim", F.col("at").alias(at), *[F.col(c).alias(f"{c}_{name}") for c in side]), ["label", "dim", at])
+        near = F.coalesce(_apart("centre_one", "centre_two") <= reach + F.col("radius_one") + F.col("radius_two") + SLACK, F.lit(True))
+        down = down.where(((F.col("a") != F.col("b")) | (F.col("path_one") <= F.col("path_two"))) & near)
+        pairs = stash(pairs.where("leaf_one and leaf_two").union(down.select(pairs.columns)))
+    tight = (2 * F.greatest("radius_one", "radius_two") <= reach - SLACK)
+    whole = tight & ((F.col("path_one") == F.col("path_two")) | (_apart("centre_one", "centre_two") + F.col("radius_one") + F.col("radius_two") <= reach - SLACK))
+    return pairs.select("label", "dim", F.col("path_one").alias("one"), F.col("path_two").alias("two"), F.coalesce(whole, F.lit(False)).alias("whole"))
+
+
+def _block_links(placed: DataFrame, leaves: DataFrame, pairs: DataFrame, cosine: float, block: int) -> DataFrame:
+    """(u, v, n): links found by meetings of blocks; n is the weight of u's links where v is null, else u and v link."""
+    kind, reach = dict(placed.dtypes), reach_of(cosine)
+    parts = few(leaves.select(*_CELL, F.ceil(F.col("size") / block).cast("int").alias("parts")))
+    split = placed.join(parts, _CELL).withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).drop("parts")
 
     def fold(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        """A block in one row: its centre, true radius, members."""
+        """A block in one row: its centre, true radius, members and tree."""
         rows = rows.sort_values("node", kind="stable")
         unit = _unit(rows["embedding"])
         centre = unit.mean(0)
         far = float(np.sqrt(((unit - centre) ** 2).sum(1)).max())
-        row = [*key, centre.tolist(), far, rows["node"].tolist(), rows["weight"].tolist(), unit.tobytes()]
-        return pd.DataFrame([row], columns=["label", "dim", "cell", "part", "centre", "radius", "nodes", "weights", "unit"])
+        row = [*key, centre.tolist(), far, rows["node"].tolist(), rows["weight"].tolist(), unit.tobytes(), Tree(unit, reach / 2).packed()]
+        return pd.DataFrame([row], columns=[*_CELL, "part", "centre", "radius", "nodes", "weights", "unit", "tree"])
 
-    blocks = stash(split.groupBy("label", "dim", "cell", "part").applyInPandas(fold, f"label {kind['label']}, dim int, cell int, part int, centre array<double>, radius double, nodes array<{kind['node']}>, weights array<long>, unit binary"))
-    blocks = blocks.withColumn("block", F.col("cell").cast("long") * (1 << 32) + F.col("part"))
+    schema = f"label {kind['label']}, dim int, path string, part int, centre array<double>, radius double, nodes array<{kind['node']}>, weights array<long>, unit binary, tree binary"
+    blocks = stash(split.groupBy(*_CELL, "part").applyInPandas(fold, schema))
     # Which blocks meet is decided on their centres alone; members are sent only where two do.
-    heads = blocks.select("label", "dim", "block", "centre", "radius")
-    apart = F.sqrt(F.aggregate(F.zip_with("a.centre", "b.centre", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, d: s + d))
-    reach = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
-    meets = heads.alias("a").join(heads.alias("b"), (F.col("a.label") == F.col("b.label")) & (F.col("a.dim") == F.col("b.dim")) & (F.col("a.block") <= F.col("b.block"))).where(apart <= reach + F.col("a.radius") + F.col("b.radius") + SLACK)
-    meets = meets.select("a.label", "a.dim", F.col("a.block").alias("one"), F.col("b.block").alias("two"))
-    side = lambda name: blocks.select("label", "dim", F.col("block").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("nodes", "weights", "unit")])
-    met = meets.join(side("one"), ["label", "dim", "one"]).join(side("two"), ["label", "dim", "two"])
+    heads = lambda name: blocks.select("label", "dim", F.col("path").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("part", "centre", "radius")])
+    meets = pairs.where("not whole").join(heads("one"), ["label", "dim", "one"]).join(heads("two"), ["label", "dim", "two"])
+    meets = meets.where(((F.col("one") != F.col("two")) | (F.col("part_one") <= F.col("part_two"))) & (_apart("centre_one", "centre_two") <= reach + F.col("radius_one") + F.col("radius_two") + SLACK))
+    meets = meets.select("label", "dim", "one", "part_one", "two", "part_two")
+    side = lambda name: blocks.select("label", "dim", F.col("path").alias(name), F.col("part").alias(f"part_{name}"), *[F.col(c).alias(f"{c}_{name}") for c in ("nodes", "weights", "unit", "tree")])
+    met = meets.join(side("one"), ["label", "dim", "one", "part_one"]).join(side("two"), ["label", "dim", "two", "part_two"])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
             out: tuple[list, list, list] = ([], [], [])
             for k in range(batch.num_rows):
-                same, dim = at["one"][k] == at["two"][k], at["dim"][k].as_py()
-                get = lambda name: (at[f"nodes_{name}"][k].values.to_numpy(), at[f"weights_{name}"][k].values.to_numpy(), np.frombuffer(at[f"unit_{name}"][k].as_buffer(), np.float64).reshape(-1, dim))  # noqa: B023, E731
-                (ids, wx, x), (ids2, wy, y) = get("one"), get("two")
-                nx, ny, forest = meet(x, wx, y, wy, cosine, same)
+                same, dim = at["one"][k] == at["two"][k] and at["part_one"][k] == at["part_two"][k], at["dim"][k].as_py()
+                get = lambda name: (at[f"nodes_{name}"][k].values.to_numpy(), at[f"weights_{name}"][k].values.to_numpy(), np.frombuffer(at[f"unit_{name}"][k].as_buffer(), np.float64).reshape(-1, dim), Tree.unpacked(at[f"tree_{name}"][k].as_py()))  # noqa: B023, E731
+                ids, wx, x, a = get("one")
+                ids2, wy, y, b = (ids, wx, x, a) if same else get("two")
+                nx, ny, forest = meet(x, wx, a, y, wy, b, cosine, same)
                 both = ids if same else np.concatenate((ids, ids2))
                 n = nx if same else np.concatenate((nx, ny))
                 some = np.flatnonzero(n)
@@ -215,7 +306,31 @@ def near_pairs(vectors: DataFrame, *, cosine: float = COSINE, pivots: int = PIVO
                 out[2].extend(n[some].tolist() + [None] * len(forest))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["u", "v", "n"])
 
-    found = stash(met.mapInArrow(link, "u long, v long, n long"))
+    return met.mapInArrow(link, "u long, v long, n long")
+
+
+def _whole_links(placed: DataFrame, leaves: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(u, v, n) as ``_block_links``, of pairs of cells all of whose vectors link: from the cells' weights and least nodes alone."""
+    own = lambda name: leaves.select("label", "dim", F.col("path").alias(name), F.col("total").alias(f"total_{name}"), F.col("least").alias(f"least_{name}"))
+    known = stash(pairs.where("whole").join(own("one"), ["label", "dim", "one"]).join(own("two"), ["label", "dim", "two"]))
+    across = known.where("one <> two")
+    sides = known.select("label", "dim", F.col("one").alias("path"), F.col("least_one").alias("least"), F.col("total_two").alias("n"))
+    sides = sides.union(across.select("label", "dim", "two", "least_two", "total_one"))
+    met = placed.select(*_CELL, "node", "weight").join(sides.groupBy(*_CELL, "least").agg(F.sum("n").alias("n")), _CELL)
+    none = F.lit(None).cast("long")
+    found = met.select(F.col("node").alias("u"), none.alias("v"), (F.col("n") - F.col("weight")).alias("n"))
+    found = found.union(met.where("node <> least").select("node", "least", none))
+    return found.union(across.select("least_one", "least_two", none))
+
+
+def near_pairs(vectors: DataFrame, *, cosine: float = COSINE, pivots: int = PIVOTS, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Of (node, label, embedding, weight) rows: (node, weight of linked others) and a forest of links (u, v)."""
+    placed, tree, depth = cells(vectors, cosine, pivots, block)
+    leaves, pairs = tree.where("leaf"), cell_pairs(tree, depth, reach_of(cosine))
+    found = _block_links(placed, leaves, pairs, cosine, block)
+    if depth:
+        found = found.union(_whole_links(placed, leaves, pairs))
+    found = stash(found)
     return found.where("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("linked")), found.where("v is not null").select("u", "v")
 
 

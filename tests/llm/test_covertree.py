@@ -49,6 +49,32 @@ def test_equals_brute_force(rows, block, pivots):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found.collect())
 
 
+def test_tight_groups_need_no_meetings(rows):
+    """Groups larger than a block in which all vectors link, two of them near enough to link in whole, one in part, and loose vectors between."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=6)
+    base /= np.linalg.norm(base)
+    side = np.linalg.svd(base[None])[2][1]
+    data = []
+    for shift, n, noise in ((0.0, 40, 0.004), (0.1, 30, 0.004), (0.2, 30, 0.004), (0.35, 25, 0.05), (2.0, 20, 0.004)):
+        for _ in range(n):
+            data.append((len(data), [float(x) for x in base + shift * side + noise * rng.normal(size=6)], 0))
+    found = covertree.embedding_duplicates(rows(KIND, *data), block=5, pivots=4)
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found.collect()) == brute(data)
+
+
+def test_cells_keep_all_vectors(rows):
+    data = [(i, v, c) for i, v, c in sample()[:120]]
+    vectors = rows(KIND, *data).selectExpr("vec_id as node", "label", "embedding", "1L as weight")
+    placed, tree, depth = covertree.cells(vectors, 0.98, 3, 7)
+    assert depth > 1 and sorted(r["node"] for r in placed.collect()) == list(range(120))
+    leaves = {(r["label"], r["path"]): r for r in tree.where("leaf").collect()}
+    for r in placed.collect():
+        leaf, v = leaves[r["label"], r["path"]], np.array(r["embedding"], float)
+        assert np.linalg.norm(v / np.linalg.norm(v) - np.array(leaf["centre"])) <= leaf["radius"] + 1e-12
+    assert sum(r["size"] for r in leaves.values()) == 120 and max(r["size"] for r in leaves.values() if r["radius"] > 0.1) <= 7
+
+
 def test_query_and_repeated_rows(spark, rows, save):
     data = sample()[:40]
     df = rows(KIND, *data, *data[:3]).selectExpr("*", "1 as node", "2 as weight")
