@@ -4,7 +4,7 @@ Links: equal, non-null labels and a cosine of at least ``COSINE`` in double prec
 most sqrt(2 - 2 cosine). Vectors equal in every component are collapsed to one with a count first.
 
 The upper levels of a label's tree are tables: a cell with more than ``block`` vectors is dealt to cells of its own by the nearest
-of ``pivots`` of its members, and so on, so the number of pivots grows with the label. No cell is gathered for that: its rows go to as
+of up to ``pivots`` of its members, and so on, so the number of pivots grows with the label. No cell is gathered for that: its rows go to as
 many tasks as they need, each with the cell's pivots. A cell is a leaf once it fits a block, if all its vectors link anyway (its radius
 is at most half the linking distance), if it didn't get smaller, or after ``ROUNDS`` levels. Pairs of cells go down these levels
 together, one round a level, as far as their true covering radii allow. A leaf cell's blocks (one, but for the last three kinds) become
@@ -219,8 +219,10 @@ def cells(vectors: DataFrame, cosine: float, pivots: int, block: int) -> tuple[D
         # A large cell's rows are dealt to parts, and its pivots are sent to each.
         parts = F.ceil(F.col("size") / (16 * block)).cast("int")
         members = placed.where("not leaf")
+        # No more pivots than leave cells of about half a block: every cell more is a block more to meet.
         chosen = bounded_sample(members, _CELL, pivots, "node", [*_CELL, "node", "embedding", "size"])
-        chosen = stash(chosen.withColumn("slot", F.row_number().over(Window.partitionBy(*_CELL).orderBy("node")) - 1))
+        chosen = chosen.withColumn("slot", F.row_number().over(Window.partitionBy(*_CELL).orderBy("node")) - 1)
+        chosen = stash(chosen.where(F.col("slot") < F.ceil(2 * F.col("size") / block)))
         leads = chosen.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("weight", F.lit(0).cast("long"))
         own = members.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn("slot", F.lit(_ROW))
         columns = [*_CELL, "part", "slot", "node", "weight", "embedding"]
