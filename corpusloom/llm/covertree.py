@@ -36,7 +36,7 @@ from corpusloom.llm.common import bounded_sample, few, stash, table
 from corpusloom.llm.components import components
 
 COSINE, PIVOTS, BLOCK, SLACK = 0.98, 16, 2048, 1e-9
-#: Levels of the tables of cells: 16 pivots each split 10^16 vectors; only lopsided cells get so far.
+#: Levels of the tables of cells: evenly split by 16 pivots each they'd hold over 10^17 vectors, so only lopsided cells get so far.
 ROUNDS = 12
 _ROW = 1 << 30
 _CELL = ["label", "dim", "path"]
