@@ -118,3 +118,19 @@ def test_retry_loop(rows):
     # The pair stays failed through a round that makes nothing for it, and passes in the next.
     assert n == 2 and rounds == [[("b",)], [("b",)]] and last.count() == 2
     assert {r["id"]: r["status"] for r in output.collect()} == {0: "passed", 1: "failed", 2: "passed"}
+
+
+def test_chunks_are_numbered_without_texts(spark, tmp_path):
+    """No window brings a source's texts together; numbers are dense within a source, a null one among them."""
+    import pandas as pd
+
+    from corpusloom import catalog
+    from corpusloom.sources import fixtures
+
+    docs = pd.DataFrame({"doc_id": [5, 1, 9, 4, 7, 8], "text": list("abcdef"), "source": ["x", "y", "x", None, "x", None]})
+    docs.to_parquet(tmp_path / "documents.parquet")
+    places = {r["seq"]: (r["chunk_index"], r["chunk_type"]) for r in fixtures.chunks(spark, str(tmp_path)).collect()}
+    assert places == {5: (0, "summary"), 7: (1, "content"), 9: (2, "content"), 1: (0, "summary"), 4: (0, "summary"), 8: (1, "content")}
+    assert {r["seq"]: r["chunk_type"] for r in fixtures.chunks(spark, str(tmp_path), indexed=False).collect()} == {k: v[1] for k, v in places.items()}
+    plan = catalog.QUERIES["chunk_style_tasks"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
