@@ -148,3 +148,14 @@ def test_http_client_asks_for_the_model_once_and_tries_again():
         assert names.count("models") == 1 and seen[0][1] == "Bearer key-1" and names.count("busy") == 3 and names.count("refused") == 1
     finally:
         server.shutdown()
+
+
+def test_many_prompts_keep_their_order_and_only_wanted_columns(spark):
+    from pyspark.sql import functions as F
+
+    from corpusloom.models import PROMPTS, ScriptedClient, Sampling, respond
+
+    rows = spark.range(2 * PROMPTS + 7, numPartitions=1).select("id", F.col("id").cast("string").alias("text"), F.lit("wide").alias("copy"))
+    asked = respond(rows, ScriptedClient(), "", F.col("text"), Sampling(), keep=["id"])
+    assert asked.columns == ["id", "response"]
+    assert {r["id"]: r["response"] for r in asked.collect()} == {i: ScriptedClient().complete("", str(i), Sampling()) for i in range(2 * PROMPTS + 7)}
