@@ -23,18 +23,30 @@ from corpusloom.llm import language, mixing, packing, secrets, simhash
 from corpusloom.llm.common import WORD, stash, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Rows of an Arrow batch at most: documents are long, and a batch stands in a task's JVM, as it grows there, and in its Python worker at the same time.
+BATCH = 1000
+
+
+def _bounded(spark: SparkSession) -> None:
+    """From now on the session's Arrow batches have ``BATCH`` rows at most. It stays so, as stages run when they are written; a lower setting is kept."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH:
+        spark.conf.set(key, BATCH)
 
 
 def _language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded(spark)
     model = language.learn(docs, F.col("doc_id").isNotNull())
     return language.identify(docs.select(*COLUMNS), model).where(F.col("lang_pred") != language.UND).select(*COLUMNS)
 
 
 def _simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded(spark)
     return simhash.dedup(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def _secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded(spark)
     clean = docs.withColumn("text", secrets.redact(F.col("text")))
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
@@ -49,6 +61,7 @@ def _mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded(spark)
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path(packing.VOCABULARY))

@@ -1,6 +1,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,3 +78,17 @@ def test_stages_equal_brute_force(spark, docs, save):
 
 def test_empty_table(spark, docs, save):
     assert corpus_pipeline.run(spark, save(documents=docs("a").limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("name", ["language", "simhash", "secrets", "packing"])
+def test_long_documents_reach_python_in_bounded_batches(spark, docs, save, name):
+    key, df = "spark.sql.execution.arrow.maxRecordsPerBatch", docs(*[f"the text {i}" for i in range(2500)]).coalesce(1)
+    sizes = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches)
+    try:
+        dict(corpus_pipeline.STAGES)[name](spark, df, save(documents=df))
+        assert max(r["n"] for r in df.mapInArrow(sizes, "n long").collect()) <= corpus_pipeline.BATCH
+        spark.conf.set(key, 7)
+        corpus_pipeline._bounded(spark)
+        assert spark.conf.get(key) == "7"
+    finally:
+        spark.conf.unset(key)
