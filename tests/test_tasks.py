@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.operators import generate, retry
 from corpusloom.operators import tasks as T
@@ -134,3 +135,10 @@ def test_chunks_are_numbered_without_texts(spark, tmp_path):
     assert {r["seq"]: r["chunk_type"] for r in fixtures.chunks(spark, str(tmp_path), indexed=False).collect()} == {k: v[1] for k, v in places.items()}
     plan = catalog.QUERIES["chunk_style_tasks"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
+
+
+def test_counting_windows_does_not_read_texts(spark, rows, tmp_path):
+    rows("document_id string, chunk_index int, hf_row_id string, text string, document_name string", *[("d", i, str(i), "t", "n") for i in range(5)]).write.parquet(f"{tmp_path}/c")
+    windows = T.local_windows(spark.read.parquet(f"{tmp_path}/c"), 3, 1).agg(F.count(F.lit(1)).alias("n"))
+    assert windows.first()["n"] == 3
+    assert "text:string" not in windows._jdf.queryExecution().executedPlan().toString()
