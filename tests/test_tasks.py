@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import generate, retry
 from corpusloom.operators import tasks as T
 from corpusloom.models import ScriptedClient
-from corpusloom.sources import corpus
+from corpusloom.sources import corpus, fixtures
 
 CHUNK = "hf_row_id string, document_id string, document_name string, chunk_index int, chunk_type string, text string, seq long"
 CFG = T.CorpusConfig(min_chars=5, max_chars=50, summaries=True)
@@ -142,3 +142,11 @@ def test_counting_windows_does_not_read_texts(spark, rows, tmp_path):
     windows = T.local_windows(spark.read.parquet(f"{tmp_path}/c"), 3, 1).agg(F.count(F.lit(1)).alias("n"))
     assert windows.first()["n"] == 3
     assert "text:string" not in windows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_without_a_vector_are_not_moved(spark, rows, tmp_path):
+    rows("vec_id long, label int, embedding array<float>", (1, 0, [1.0]), (7, 0, [2.0])).write.parquet(f"{tmp_path}/embeddings.parquet")
+    rows("doc_id long, text string", *[(i, f"t{i}") for i in range(5)]).write.parquet(f"{tmp_path}/documents.parquet")
+    found = fixtures.vectors(spark, str(tmp_path))
+    assert {(r["seq"], r["text"]) for r in found.collect()} == {(1, "t1"), (7, None)}
+    assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
